@@ -13,6 +13,8 @@ ignored.
 
 from __future__ import annotations
 
+import os
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -25,38 +27,74 @@ from .common import plain, rows, utf8
 
 CAPACITY = 2048
 #: Words whose ids a Python worker remembers.
-MEMO = 300_000
+MEMO = 1_000_000
+#: Punctuation that is a token run of its own behind a letter or digit.
+_TAIL = b"!.,;:?*$%&#|>"
 _encoders: dict = {}
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, so that words can be encoded apart.
+    """Ids of texts by a tokenizer that lower-cases and drops white space, so that words can be encoded apart.
 
-    Words seen before come from a memo; new ones are encoded by the library in one batch for each text.
+    Words seen before come from a memo. Of a new word a tail of punctuation is looked up apart, and what is still
+    unknown is encoded by the library in one batch for each text.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.memo: dict[bytes, bytes] = {}
+        # byte-level vocabularies show bytes that do not print as the code points from 256 on, in order
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.shown = dict(zip([b for b in range(256) if b not in prints], range(256, 512), strict=False))
 
     def __call__(self, data: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        words = data.split()
+        # lower-casing first makes words meet in the memo; not beside combining marks or special tokens, which it could alter
+        plain_case = b"<|" not in data and (data.isascii() or (b"\xcc" not in data and b"\xcd" not in data))
+        words = (data.lower() if plain_case else data).split()
         memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
         got = list(map(memo.get, words))
-        if None in got:
-            new = list({w for w, g in zip(words, got, strict=True) if g is None})
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                got = [None] * len(words)
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-            got = [g if g is not None else memo[w] for w, g in zip(words, got, strict=True)]
+        missing = [i for i, g in enumerate(got) if g is None]
+        if missing:
+            new, parts = set(), []
+            for i in missing:
+                word = words[i]
+                stem = word.rstrip(_TAIL)
+                if stem and len(stem) < len(word) and plain_case and (stem[-1:].isalnum() or stem.decode("utf-8", "replace")[-1].isalpha()):
+                    tail = word[len(stem) :]
+                    known = stem in memo
+                    if not known:
+                        new.add(stem)
+                    if tail not in memo:
+                        new.add(tail)
+                    parts.append((stem, tail, known))
+                else:
+                    new.add(word)
+                    parts.append((word, b"", False))
+            if new:
+                other = []
+                for w in new:
+                    text = w.decode("utf-8", "replace")
+                    # a run of Latin letters is one word to the tokenizer, which its model takes byte by byte
+                    if text.isalpha() and max(text) < "\u0130":
+                        ids = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(self.shown))]
+                        memo[w] = struct.pack(f"<{len(ids)}I", *ids)
+                    else:
+                        other.append((w, text))
+                for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
+                    memo[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            for i, (stem, tail, known) in zip(missing, parts, strict=True):
+                got[i] = memo[stem] + memo[tail] if tail else memo[stem]
+                if known:
+                    memo[words[i]] = got[i]
         return b"".join(got)
 
 
