@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, packing, quality, substring
+from . import bpe, chat, fingerprint, jaccard, language, licences, packing, quality, sharding, substring
 
 
 def tokenizer_path(spark: SparkSession, name: str) -> str:
@@ -31,6 +31,24 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.digests(chat.format_conversations(turns.union(more)))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(spark, "byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.tokenised(docs, tokenizer_path(spark, "word_bpe_49k.json"))
@@ -41,10 +59,22 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -53,9 +83,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    found = [op1_language_id, op4_harmonic_packing, op5_substring_dedup, op7_jaccard_join, op10_quality_rules]
+    found = [
+        op1_language_id,
+        op2_chat_formatting,
+        op3_bpe,
+        op4_harmonic_packing,
+        op5_substring_dedup,
+        op6_licence_scan,
+        op7_jaccard_join,
+        op8_sharding,
+        op9_fingerprints,
+        op10_quality_rules,
+    ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_formatting": chat.ORACLE, "op6_licence_scan": licences.ORACLE}
