@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,12 +124,26 @@ def utf8(text: str | None) -> bytes:
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a file in the shared checkpoint folder; a folder is made only where none is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="harrier-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share; one is made only where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="harrier-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table in the shared folder: compressed, so for wide rows smaller than a checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/harrier-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def plain(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, under aliases no other column can clash with."""
     return df.select(*[F.col(f"`{n}`").alias(n) for n in names])
@@ -150,7 +165,3 @@ def components(edges: DataFrame) -> DataFrame:
         if after.where("label <> old").isEmpty():
             return after.select("node", "label")
         labels = after.select("node", "label")
-
-
-def session_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession

@@ -4,11 +4,12 @@ Texts with the same shingle set are one node. Nodes that share a token of their
 that two similar sets must share one) are candidates. Similar nodes are partitioned into groups of bounded size; a group
 is shipped once with its token union, a query's overlap with the union bounds its overlap with every member, and
 only groups whose bound reaches the threshold are opened, by one product of the query with the group's token-member
-matrix. Two rounds open groups:
+matrix. Rounds of two kinds open groups:
 
-1. groups of one: the leader of each token's list, against the others in the list. In a family of near copies almost
-   every node links here, so rows stay linear in the lists.
-2. blocks of at most ``block`` nodes of a component of round 1 (or of nodes still alone), against the nodes of other
+1. twice, groups of one: each node against the leader of its tokens' lists with which it shares most, where a list's
+   leader is of its largest component so far. In a family of near copies almost every node links here, so rows stay
+   linear in the nodes.
+2. once, blocks of about ``block`` nodes of a component so far (or of nodes still alone), against the nodes of other
    components that share a prefix token with the block.
 
 Every pair of different components that shares a prefix token is so compared in full: no link is lost.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, components, plain, rows, set_key, shingle_set, utf8
+from .common import checkpoint, components, plain, rows, set_key, shingle_set, utf8, written
 
 #: Tokens counted as frequent at most; they only order the prefixes, so the bound costs no link.
 FREQUENT = 100_000
@@ -47,10 +48,10 @@ def _summary(k: int):
         def frequent() -> pa.RecordBatch:
             token, n = np.unique(np.concatenate(held), return_counts=True)
             often = n >= 3
-            return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(often.sum(), np.int32)), "id": pa.array(token[often].view(np.int64)), "n": pa.array(n[often]), "node": pa.array(np.zeros(often.sum(), np.int64))})
+            return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(often.sum(), np.int32)), "id": pa.array(token[often].view(np.int64)), "n": pa.array(n[often]), "node": pa.array(np.zeros(often.sum(), np.int64)), "th": pa.array(np.zeros(often.sum(), np.int64))})
 
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, th = batch.column(0), batch.column(1), batch.column(2)
             n, node = [], []
             for i in range(batch.num_rows):
                 t = _tokens(texts[i].as_py(), k)
@@ -61,7 +62,7 @@ def _summary(k: int):
                 if size >= _SLICE:
                     yield frequent()
                     held, size = [], 0
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(n), np.int32)), "id": ids, "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(n), np.int32)), "id": ids, "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()), "th": th})
         if held:
             yield frequent()
 
@@ -127,12 +128,12 @@ def _open(k: int, share: int):
             sizes = np.array([len(m[0]) for m in members])
             return union, np.append(first, len(token)), owner[order], sizes
 
-        for grp, part, role, node, text in rows(batches, "grp", "part", "role", "node", "text"):
+        for grp, part, role, node, comp, text in rows(batches, "grp", "part", "role", "node", "comp", "text"):
             if (grp, part) != current:
                 current, members, matrix = (grp, part), [], None
             t = _tokens(text, k)
             if role == 0:
-                members.append((t, node))
+                members.append((t, node, comp))
                 continue
             if not members:
                 continue
@@ -146,10 +147,11 @@ def _open(k: int, share: int):
             spans = first[hit + 1] - first[hit]
             where = np.repeat(first[hit] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())
             overlap = np.bincount(owner[where], minlength=len(members))
-            for m in np.flatnonzero(100 * overlap >= share * (len(t) + sizes - overlap)):
-                if members[m][1] != node:
-                    a.append(node)
-                    b.append(members[m][1])
+            # one link to each component says all about the query
+            linked = {members[m][2]: members[m][1] for m in np.flatnonzero(100 * overlap >= share * (len(t) + sizes - overlap))}
+            linked.pop(comp, None)
+            a += [node] * len(linked)
+            b += linked.values()
             if len(a) >= 50_000:
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
                 a, b = [], []
@@ -160,24 +162,64 @@ def _open(k: int, share: int):
 
 
 def _links(members: DataFrame, queries: DataFrame, texts: DataFrame, k: int, share: int, per_part: int = 64) -> DataFrame:
-    """Links (a, b) of queries (grp, node) to members (grp, node). A group with many queries is opened in several
+    """Links (a, b) of queries (grp, node, comp) to members (grp, node, comp), one for each query and component. A group with many queries is opened in several
     parts, its members repeated in each, so that no task holds all queries of a hot group."""
     parts = queries.groupBy("grp").agg(F.ceil(F.count("*") / per_part).cast("int").alias("parts"))
-    of = members.join(parts, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "node")
-    asked = queries.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node")
-    ready = of.union(asked).join(texts, "node").select("grp", "part", "role", "node", "text")
+    of = members.join(parts, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "node", "comp")
+    asked = queries.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node", "comp")
+    ready = of.union(asked).join(texts, "node").select("grp", "part", "role", "node", "comp", "text")
     return ready.repartition("grp", "part").sortWithinPartitions("grp", "part", "role").mapInArrow(_open(k, share), "a long, b long")
 
 
+def _need(x: Column, y: Column, share: int) -> Column:
+    """Least number of prefix tokens that two sets of sizes x and y share if they link.
+
+    Up to the lower end of both prefixes all shared tokens are counted; behind it at most the rest of one set, so
+    overlap <= counted + max(x - prefix, y - prefix), and a link needs share / (100 + share) of x + y.
+    """
+
+    def behind(n: Column) -> Column:
+        return F.ceil(n * share / 100) - 1
+
+    return F.ceil((x + y) * share / (100 + share)) - F.greatest(behind(x), behind(y))
+
+
+#: Bits of the filter in front of a join with texts: a fixed size, whatever the number of nodes.
+BITS = 1 << 22
+
+
+def _texts(source: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the given nodes: of each one text, of the smallest doc_id.
+
+    A bit map of the ids lets only the texts that may be wanted into the shuffle. Rows that repeat a doc_id and its text
+    only repeat links.
+    """
+    holder = sets.join(nodes.distinct(), "node").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("h"))
+    holder = checkpoint(holder.select("node", F.col("h.doc_id").alias("h_id"), F.col("h.th").alias("h_th")))
+    wanted = holder.select((F.xxhash64("h_id", "h_th").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit")).distinct().toArrow()  # BITS rows at most
+    bits = np.zeros(BITS, bool)
+    bits[wanted.column("bit").to_numpy()] = True
+    packed = np.packbits(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            yield batch.select(["doc_id", "text", "th"]).filter(pa.array(known[batch.column(3).to_numpy()]))
+
+    some = source.select("doc_id", "text", "th", (F.xxhash64("doc_id", "th").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit"))
+    some = some.mapInArrow(run, "doc_id long, text string, th long")
+    return written(some.join(holder, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("th") == F.col("h_th"))).select("node", "text"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id. Documents link at 100 * intersection >= share * union."""
 
     def fits(x: Column, y: Column) -> Column:
         return (F.least(x, y) * 100) >= (F.greatest(x, y) * share)
 
-    source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    summary = checkpoint(source.mapInArrow(_summary(k), "kind int, id long, n long, node long"))
-    sets = summary.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "node")
+    source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("th", F.xxhash64("text"))
+    summary = checkpoint(source.mapInArrow(_summary(k), "kind int, id long, n long, node long, th long"))
+    sets = summary.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "node", "th")
     top = summary.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(FREQUENT).toArrow()  # bounded by FREQUENT
     known = top.column("id").to_numpy().view(np.uint64)
     order = np.argsort(known)
@@ -193,36 +235,54 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 1
         .dropDuplicates(["token", "node"])
     )
     lists = checkpoint(lists)
-    holder = sets.join(lists.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("holder"))
-    texts = source.join(holder, F.col("doc_id").eqNullSafe(F.col("holder")))
-    texts = checkpoint(texts.mapInArrow(_own(k), "node long, text string").dropDuplicates(["node"]))
-
-    pairs = lists.where((F.col("node") != F.col("leader")) & fits(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("grp"), "node").distinct()
-    leaders = pairs.select("grp").distinct().select("grp", F.col("grp").alias("node"))
-    links = checkpoint(_links(leaders, pairs, texts, k, share))
-    linked = components(links)
-
-    nodes = lists.groupBy("node").agg(F.first("n").alias("n"), F.min("leader").alias("leader"))
-    nodes = nodes.join(linked, "node", "left").withColumn("comp", F.coalesce("label", "node"))
-    sizes = nodes.groupBy("comp").agg(F.count("*").alias("size"))
-    nodes = nodes.join(sizes, "comp").withColumn("near", F.when(F.col("size") > 1, F.col("comp")).otherwise(F.col("leader")))
-    blocks = nodes.groupBy("near", F.col("size") > 1).agg(F.ceil(F.count("*") / block).alias("blocks")).toDF("near", "many", "blocks")
-    nodes = nodes.withColumn("many", F.col("size") > 1).join(blocks, ["near", "many"])
-    nodes = checkpoint(nodes.select("node", "n", "comp", "size", "many", F.xxhash64("near", "many", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
+    links, nodes = None, None
+    for _ in range(2):
+        if nodes is None:
+            of = lists.withColumn("comp", F.col("node")).withColumn("leader_comp", F.col("leader"))
+        else:
+            mixed = lists.select("token", "node").join(nodes, "node")
+            lead = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("size", "comp", "node", "n")).alias("lead"))
+            lead = lead.where("lo <> hi").select("token", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("leader_comp"), F.col("lead.n").alias("leader_n"))
+            of = mixed.select("token", "node", "n", "comp").join(lead, "token")
+        pairs = of.where((F.col("comp") != F.col("leader_comp")) & fits(F.col("n"), F.col("leader_n")))
+        pairs = pairs.groupBy("leader", "node").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("n", "leader_n", "comp", "leader_comp")])
+        # these rounds may miss links, the last may not: each node asks the one leader it shares most with
+        pairs = pairs.where(F.col("c") * 2 >= _need(F.col("n"), F.col("leader_n"), share)).groupBy("node").agg(F.max(F.struct("c", "leader", "comp", "leader_comp")).alias("best"))
+        pairs = checkpoint(pairs.select(F.col("best.leader").alias("grp"), "node", "best.comp", "best.leader_comp"))
+        leaders = pairs.select("grp", F.col("grp").alias("node"), F.col("leader_comp").alias("comp")).distinct()
+        texts = _texts(source, sets, leaders.select("node").union(pairs.select("node")))
+        more = checkpoint(_links(leaders, pairs.drop("leader_comp"), texts, k, share))
+        links = more if links is None else links.union(more)
+
+        nodes = lists.groupBy("node").agg(F.first("n").alias("n"), F.min("leader").alias("leader"))
+        nodes = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("label", "node"))
+        sizes = nodes.groupBy("comp").agg(F.count("*").alias("size"))
+        nodes = nodes.join(sizes, "comp").withColumn("many", F.col("size") > 1).withColumn("near", F.when(F.col("many"), F.col("comp")).otherwise(F.col("leader")))
+        nodes = checkpoint(nodes.select("node", "n", "comp", "size", "many", "near"))
+    # members of like sizes, so that the bound of a group is close to its members' own
+    nodes = nodes.withColumn("scale", F.floor(F.log("n") * 12))
+    kinds = ["near", "many", "scale"]
+    blocks = nodes.groupBy(*kinds).agg(F.ceil(F.count("*") / block).alias("blocks"))
+    nodes = nodes.join(blocks, kinds)
+    nodes = checkpoint(nodes.select("node", "n", "comp", "size", "many", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
 
     # lists that hold one component have nothing left to compare
     mixed = lists.select("token", "node").join(nodes, "node")
     open_lists = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
     mixed = checkpoint(mixed.join(open_lists, "token"))
-    held = mixed.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"), F.min("n").alias("g_min"), F.max("n").alias("g_max"))
+    held = mixed.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"))
+    ranges = nodes.groupBy("grp").agg(F.min("n").alias("g_min"), F.max("n").alias("g_max"))
     q = mixed.select("token", "node", "n", "comp", "size", F.col("many").alias("q_many"), F.col("grp").alias("q_grp"))
     larger = F.col("many") & (F.col("g_comp") != F.col("comp")) & (F.struct("g_size", "g_comp") > F.struct("size", "comp"))
     alone = ~F.col("many") & ~F.col("q_many") & (F.col("q_grp") <= F.col("grp"))
-    near_size = (F.col("g_max") * 100 >= F.col("n") * share) & (F.col("n") * 100 >= F.col("g_min") * share)
-    queries = q.join(held, "token").where((larger | alone) & near_size).select("grp", "node").distinct()
-    queries = checkpoint(queries)
-    members = nodes.select("grp", "node").join(queries.select("grp").distinct(), "grp", "left_semi")
-    further = _links(members, queries, texts, k, share)
+    shared = q.join(held, "token").where(larger | alone).groupBy("grp", "node").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("comp").alias("comp")).join(ranges, "grp")
+    # sizes of members that can link with the query, and the least shared prefix that leaves room for a link
+    low = F.greatest(F.col("g_min"), F.ceil(F.col("n") * share / 100))
+    high = F.least(F.col("g_max"), F.floor(F.col("n") * 100 / share))
+    need = F.least(_need(F.col("n"), low, share), _need(F.col("n"), high, share))
+    queries = checkpoint(shared.where((low <= high) & (F.col("c") >= need)).select("grp", "node", "comp"))
+    members = nodes.select("grp", "node", "comp").join(queries.select("grp").distinct(), "grp", "left_semi")
+    further = _links(members, queries, _texts(source, sets, members.select("node").union(queries.select("node"))), k, share)
 
     final = components(links.union(further))
     named = sets.join(final, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
@@ -231,23 +291,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 1
     return named.join(names, "label", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _own(k: int):
-    """Texts under the key of their own set, so that a repeated doc_id with another text is not taken for it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            want = batch.column(batch.schema.get_field_index("node")).to_pylist()
-            keep = []
-            for i in range(batch.num_rows):
-                t = _tokens(texts[i].as_py(), k)
-                keep.append(len(t) > 0 and set_key(t) == want[i])
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_pydict({"node": pa.array(want, pa.int64()).filter(mask), "text": texts.filter(mask)})
-
-    return run
-
-
 def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
     """One document of each component, the one that names it, with all its columns; of rows that repeat its doc_id
     one is kept. Rows with null doc_id have no name to stay under and are all kept."""
