@@ -153,15 +153,16 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, label), label the smallest node of the component.
 
     Labels spread along edges by a grouped minimum, then jump to the label of their label. The minimum is
-    combined before the shuffle, so a node with very many edges does not gather them in a task.
+    combined before the shuffle, so a node with very many edges does not gather them in a task. Each round is written as
+    a table: a checkpointed frame would hand its plan's constraints on, which double with every round.
     """
-    both = checkpoint(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         lower = labels.join(near, "node").select("node", F.least("label", "m").alias("new"), F.col("label").alias("old"))
         jump = labels.select(F.col("node").alias("new"), F.col("label").alias("further"))
-        after = checkpoint(lower.join(jump, "new").select("node", F.least("new", "further").alias("label"), "old"))
+        after = written(lower.join(jump, "new").select("node", F.least("new", "further").alias("label"), "old"))
         if after.where("label <> old").isEmpty():
             return after.select("node", "label")
         labels = after.select("node", "label")
