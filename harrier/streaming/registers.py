@@ -17,11 +17,11 @@ def first_seen(events: DataFrame, key: str, at: str) -> DataFrame:
 
 def once(events: DataFrame, key: str, at: str, delay: str) -> DataFrame:
     """Each key once within the watermark, so the state stays bounded."""
-    return events.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
+    return events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
 def by_window(events: DataFrame, key: str, at: str, width: str, delay: str) -> DataFrame:
-    w = events.withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), key)
+    w = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay).groupBy(F.window(at, width).alias("w"), key)
     return w.agg(F.count("*").alias("n")).select("w.start", "w.end", key, "n")
 
 
