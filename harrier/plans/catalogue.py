@@ -31,10 +31,14 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import watch  # noqa: F401  registers its queries
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import watch  # noqa: F401
+
     return dict(_sql)
 
 
@@ -216,10 +220,11 @@ WITH t AS (SELECT label, list(embedding ORDER BY vec_id)[1] AS theme FROM embedd
 s AS (SELECT e.vec_id, t.label, round(list_inner_product(e.embedding::DOUBLE[], t.theme::DOUBLE[]), 6) AS score FROM embeddings e CROSS JOIN t)
 SELECT vec_id, label AS theme, score FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1""")
 def best_theme(spark, d):
-    """One theme vector a label: a table of the labels' size, checked before it is sent to every task."""
+    """One theme vector a label. More than 1000 labels are an error: the themes are sent to every task."""
     e = table(spark, d, "embeddings")
     themes = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("theme")).orderBy("label").limit(1001)
-    one = themes.agg(F.sort_array(F.collect_list(F.struct("label", "theme"))).alias("themes"))
+    listed = F.sort_array(F.collect_list(F.struct("label", "theme")))
+    one = themes.agg(F.when(F.count("*") > 1000, F.raise_error(F.lit("more than 1000 themes"))).otherwise(listed).alias("themes"))
     wide = lambda v: F.transform(v, lambda x: x.cast("double"))
     dot = lambda a, b: F.round(F.aggregate(F.zip_with(wide(a), wide(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 6)
     scores = F.transform("themes", lambda t: F.struct(dot(F.col("embedding"), t["theme"]).alias("score"), t["label"].alias("theme")))
