@@ -48,15 +48,15 @@ def sigla_of_names(sigla: DataFrame, names: DataFrame, document: str, least: int
     return both.groupBy("siglum", "name").agg(F.count("*").alias("shared"))
 
 
-def names_in_longer(names: DataFrame, document: str, longest: int = 8) -> DataFrame:
+def names_in_longer(names: DataFrame, document: str) -> DataFrame:
     """(name, longer): a name inside a longer one that at least half of its documents hold too.
 
-    Each name gives its runs of up to ``longest`` words, so containment is an equality as well.
+    Each name gives all its runs of words, so containment is an equality as well; names are a few words long.
     """
     n = names.select(document, "name").distinct()
     words = F.split("name", " ")
     ends = F.sequence(F.lit(1), F.size("w"))
-    runs = F.flatten(F.transform(ends, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.size("w") - i + 1, F.lit(longest))), lambda k: F.array_join(F.slice(F.col("w"), i, k), " "))))
+    runs = F.flatten(F.transform(ends, lambda i: F.transform(F.sequence(F.lit(1), F.size("w") - i + 1), lambda k: F.array_join(F.slice(F.col("w"), i, k), " "))))
     inside = n.withColumn("w", words).select(document, F.col("name").alias("longer"), F.explode(F.array_distinct(runs)).alias("name")).where("name <> longer")
     shared = n.join(inside, [document, "name"]).groupBy("name", "longer").agg(F.count("*").alias("shared"))
     return shared.join(n.groupBy("name").agg(F.count("*").alias("all")), "name").where("2 * shared >= all").select("name", "longer", "shared")
