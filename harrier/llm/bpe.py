@@ -48,21 +48,20 @@ class ByteBPE:
         model = spec["model"]
         byte_of = {c: b for b, c in enumerate(shown_bytes())}
         vocab = model["vocab"]
-        self.tokens: dict[int, bytes] = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items()}
         self.first = [vocab[c] for c in shown_bytes()]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         # one number for each pair: its rank above the id it gives, so that the least is the next merge
         self.merges = {(vocab[a] << 32) | vocab[b]: (rank << 32) | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.inside = np.zeros((256, 256), bool)
-        for t in self.tokens.values():
-            b = np.frombuffer(t, np.uint8)
+        for t in vocab:
+            b = np.array([byte_of[c] for c in t], np.uint8)
             self.inside[b[:-1], b[1:]] = True
+        self.joins = self.inside.tobytes()
         self.added = {a["content"]: a["id"] for a in spec.get("added_tokens") or []}
-        self.tokens |= {i: c.encode() for c, i in self.added.items()}
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.split = regex.compile(PATTERN)
         self.memo: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, list[int]] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def cuts(self, b: np.ndarray) -> np.ndarray:
         """Where a pair is never inside a token and the split pattern starts anew: in front of white space.
@@ -122,20 +121,29 @@ class ByteBPE:
 
     def fragment(self, data: bytes) -> bytes:
         """Little-endian ids of a fragment that may hold several words of the split pattern."""
-        out: list[int] = []
-        for word in self.split.findall(data.decode("utf-8", "surrogatepass")):
-            w = word.encode("utf-8", "surrogatepass")
-            b = np.frombuffer(w, np.uint8)
-            at = [0, *(np.flatnonzero(~self.inside[b[:-1], b[1:]]) + 1).tolist(), len(w)] if len(w) > 1 else [0, len(w)]
+        out: list[bytes] = []
+        known, joins = self.parts, self.joins
+        # one space and ASCII letters are one word of the split pattern
+        if data.isalpha() or (data[:1] == b" " and data[1:].isalpha()):
+            words = [data]
+        else:
+            words = [w.encode("utf-8", "surrogatepass") for w in self.split.findall(data.decode("utf-8", "surrogatepass"))]
+        for w in words:
+            got = known.get(w)
+            if got is not None:
+                out.append(got)
+                continue
+            at = [0, *[i for i, (x, y) in enumerate(zip(w, w[1:], strict=False), 1) if not joins[x << 8 | y]], len(w)]
             for x, y in zip(at, at[1:], strict=False):
                 part = w[x:y]
-                got = self.parts.get(part)
+                got = known.get(part)
                 if got is None:
-                    got = self.merge(part)
+                    ids = self.merge(part)
+                    got = struct.pack(f"<{len(ids)}i", *ids)
                     if len(part) < 40:
-                        self.parts[part] = got
-                out += got
-        return struct.pack(f"<{len(out)}i", *out)
+                        known[part] = got
+                out.append(got)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def _plain(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
@@ -173,15 +181,35 @@ class ByteBPE:
             out.append(self._plain(text[at:]))
         return np.frombuffer(b"".join(out), "<i4")
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
+class TokenBytes:
+    """The bytes of all tokens end to end, so that ids are decoded by one gather for a block of them."""
 
-def load(path: str) -> ByteBPE:
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        byte_of = {c: b for b, c in enumerate(shown_bytes())}
+        tokens = {i: bytes(byte_of[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+        tokens |= {a["id"]: a["content"].encode() for a in spec.get("added_tokens") or []}
+        self.sizes = np.array([len(tokens.get(i, b"")) for i in range(max(tokens) + 1)], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens[i] for i in sorted(tokens)), np.uint8)
+
+    def decode(self, ids: np.ndarray, block: int = 1 << 18) -> str:
+        out = []
+        for at in range(0, len(ids), block):
+            some = ids[at : at + block]
+            size = self.sizes[some]
+            ends = np.cumsum(size)
+            out.append(self.bytes[np.repeat(self.starts[some] - ends + size, size) + np.arange(ends[-1])].tobytes())
+        return b"".join(out).decode("utf-8", "replace")
+
+
+def load(path: str, kind: type = ByteBPE):
     """The worker's tables for a vocabulary file, built once."""
-    if path not in _loaded:
-        _loaded[path] = ByteBPE(path)
-    return _loaded[path]
+    if (path, kind) not in _loaded:
+        _loaded[path, kind] = kind(path)
+    return _loaded[path, kind]
 
 
 def _arrays(values: list[np.ndarray]) -> pa.ListArray:
@@ -213,10 +241,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Per row of (doc_id, ids): both, and decoded, the text of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        tokens = load(path, TokenBytes)
         for batch in batches:
             column = batch.column(1)
-            texts = [bpe.decode(column[i].values.to_pylist() if column[i].is_valid else []) for i in range(batch.num_rows)]
+            texts = [tokens.decode(column[i].values.to_numpy() if column[i].is_valid else np.empty(0, np.int32)) for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "ids": column, "decoded": pa.array(texts, pa.string())})
 
     return plain(encoded, "doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
