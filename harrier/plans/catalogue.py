@@ -31,13 +31,13 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import watch  # noqa: F401  registers its queries
+    from . import reports, watch  # noqa: F401  they register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import watch  # noqa: F401
+    from . import reports, watch  # noqa: F401
 
     return dict(_sql)
 
