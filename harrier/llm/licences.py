@@ -1,9 +1,13 @@
 """Licence scan by sentence rules, with DataFrame functions only.
 
-A text is split into sentences, each is normalised (lower case, everything but letters and digits to one space) and looked
-up in a table of known licence sentences. The identifiers of a document, in order, are then matched against licence
+A text is normalised (lower case, everything but letters and digits to one space) with its sentence ends and line breaks
+marked. Known licence sentences are looked up from any mark to any later one: a whole sentence, a line, or a run of lines;
+each place counts once, for the longest. The identifiers of a document, in order, are then matched against licence
 rules, which are sequences of identifiers; longer rules are tried first and take their sentences away from shorter ones.
-A line break inside a sentence is a space; an empty line ends a sentence.
+A line break inside a known sentence is a space; an empty line ends a sentence.
+
+The SQL knows whole split sentences only: it finds less than the operator where a licence line stands below a line that
+ends no sentence.
 
 Defined cases: a null or empty text has no sentence and no licence. A licence found twice is named once; n_matches counts both.
 Known sentences that complete no rule are listed in ``unmatched``. Repeated rows each give a row; very long texts are
@@ -12,7 +16,7 @@ scanned whole; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import plain
@@ -57,19 +61,24 @@ RULES = [
 ENDS = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$|\n[ \t\r]*\n"
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def _places() -> str:
+    """A known sentence between two marks, the longest first; its words may stand on several lines."""
+    texts = sorted(SENTENCES.values(), key=len, reverse=True)
+    return "(?<= [SL] )(?:" + "|".join(x.replace(" ", " (?:L )*+") for x in texts) + ")(?= [SL] )"
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_sentences, sentence_ids, licences, n_matches, unmatched; lists joined by commas."""
-    longest = max(map(len, SENTENCES.values()))
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in reversed(pair)])
     d = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     d = d.withColumn("sentences", F.filter(F.split(F.coalesce("text", F.lit("")), ENDS), lambda s: F.length(F.trim(s)) > 0))
-    # only sentences short enough and with one of the words every known sentence has are normalised
-    likely = F.filter("sentences", lambda s: (F.length(s) <= 2 * longest) & F.rlike(s, F.lit(HINT)))
-    ids = F.filter(F.transform(likely, lambda s: F.try_element_at(known, normalised(s))), lambda x: x.isNotNull())
+    # lower case leaves S and L free as marks of sentence ends and line breaks
+    marked = F.regexp_replace(F.regexp_replace(F.lower("text"), ENDS, " S "), r"[\r\n]+", " L ")
+    marked = F.regexp_replace(F.concat(F.lit(" S "), marked, F.lit(" S ")), "[^a-z0-9SL]+", " ")
+    places = F.regexp_extract_all(marked, F.lit(_places()), F.lit(0))
+    ids = F.transform(places, lambda x: F.try_element_at(known, F.regexp_replace(x, " [SL](?= )", "")))
+    # only texts with one of the words every known sentence has are normalised
+    ids = F.when(F.rlike("text", F.lit(HINT)), ids).otherwise(F.array().cast("array<string>"))
     d = d.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), ids.alias("ids"))
     found = F.concat(F.array_join("ids", ";"), F.lit(";"))
     for licence, rule in RULES:

@@ -241,6 +241,16 @@ def test_licences(spark):
     assert found == {1: ("Apache-2.0", 1, ""), 2: ("", 0, ""), 3: ("", 0, ""), 4: ("MIT", 2, ""), 5: ("", 0, "apache-may,apache-copy")}
 
 
+def test_licence_lines(spark):
+    """Licence lines below lines that end no sentence, and a sentence over several lines among such lines."""
+    line = "Licensed under the Apache License, Version 2.0."
+    rows = [(1, f"Licence\n{line}"), (2, f"a | b |\n{line}"), (3, f"bota.***\n{line}\nmore"), (4, f"x $$$\r\n{line[:-1]}\r\ny"), (5, "About\n\tReleased under\n***\nthe MIT License\nNext"), (6, f"{line} {line}\n{line}")]
+    rows += [(7, f"not {line}"), (8, f"Foo\n{line[:-1]} (the \"License\")\nBar"), (9, "Licensed. Under the Apache License, Version 2.0"), (10, "Licensed" + "\n*" * 20_000 + "\nunder CC BY 4.0")]
+    found = {r["doc_id"]: (r["licences"], r["n_matches"], r["sentence_ids"]) for r in licences.scan(frame(spark, rows)).collect()}
+    once = ("Apache-2.0", 1, "apache-ref")
+    assert found == {1: once, 2: once, 3: once, 4: once, 5: ("MIT", 1, "mit-ref"), 6: ("Apache-2.0", 3, ",".join(["apache-ref"] * 3)), 7: ("", 0, ""), 8: ("Apache-2.0", 1, "apache-the"), 9: ("", 0, ""), 10: ("CC-BY-4.0", 1, "ccby4-ref")}
+
+
 @pytest.mark.parametrize("name", ["op2_chat_formatting", "op6_licence_scan"])
 def test_sql(spark, sf_dir, name):
     import duckdb
