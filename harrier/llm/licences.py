@@ -2,12 +2,12 @@
 
 A text is normalised (lower case, everything but letters and digits to one space) with its sentence ends and line breaks
 marked. Known licence sentences are looked up from any mark to any later one: a whole sentence, a line, or a run of lines;
-each place counts once, for the longest. The identifiers of a document, in order, are then matched against licence
+each place counts once, for the longest. Some notices have a sentence end inside a known sentence. The identifiers of a document, in order, are then matched against licence
 rules, which are sequences of identifiers; longer rules are tried first and take their sentences away from shorter ones.
 A line break inside a known sentence is a space; an empty line ends a sentence.
 
 The SQL knows whole split sentences only: it finds less than the operator where a licence line stands below a line that
-ends no sentence.
+ends no sentence, where a sentence end stands inside a known sentence, and it takes the BSD licence of three clauses for that of two.
 
 Defined cases: a null or empty text has no sentence and no licence. A licence found twice is named once; n_matches counts both.
 Known sentences that complete no rule are listed in ``unmatched``. Repeated rows each give a row; very long texts are
@@ -57,31 +57,43 @@ RULES = [
     ("CC-BY-4.0", ["ccby4-ref"]),
     ("CC-BY-SA-4.0", ["ccbysa4-ref"]),
 ]
+#: Sentences as the operator knows them, where they differ from the SQL's. Their notices have a sentence end or an
+#: empty line at "|"; "*" is one to twenty words, the name of a holder.
+NOTICES = SENTENCES | {
+    "apache-copy": "you may obtain a copy of the license at | http www apache org licenses license 2 0",
+    "gpl-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty | without even the implied warranty of merchantability or fitness for a particular purpose",
+    "bsd-name": "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+}
+#: The operator's rules, one ahead of the SQL's.
+NOTICE_RULES = [("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]), *RULES]
 #: Sentence ends; as the pattern is also DuckDB's, it looks neither ahead nor back.
 ENDS = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$|\n[ \t\r]*\n"
 
 
 def _places() -> str:
     """A known sentence between two marks, the longest first; its words may stand on several lines."""
-    texts = sorted(SENTENCES.values(), key=len, reverse=True)
-    return "(?<= [SL] )(?:" + "|".join(x.replace(" ", " (?:L )*+") for x in texts) + ")(?= [SL] )"
+    texts = sorted(NOTICES.values(), key=len, reverse=True)
+    texts = [x.replace(" | ", "~").replace(" ", " (?:L )*+").replace("~", " (?:[SL] )*+").replace("*+*", "*+[a-z0-9]+(?: (?:L )*+[a-z0-9]+){0,19}?") for x in texts]
+    return "(?<= [SL] )(?:" + "|".join(texts) + ")(?= [SL] )"
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_sentences, sentence_ids, licences, n_matches, unmatched; lists joined by commas."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in reversed(pair)])
+    known = F.create_map(*[F.lit(x) for k, v in NOTICES.items() for x in (v.replace(" | ", " "), k)])
     d = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     d = d.withColumn("sentences", F.filter(F.split(F.coalesce("text", F.lit("")), ENDS), lambda s: F.length(F.trim(s)) > 0))
     # lower case leaves S and L free as marks of sentence ends and line breaks
     marked = F.regexp_replace(F.regexp_replace(F.lower("text"), ENDS, " S "), r"[\r\n]+", " L ")
     marked = F.regexp_replace(F.concat(F.lit(" S "), marked, F.lit(" S ")), "[^a-z0-9SL]+", " ")
     places = F.regexp_extract_all(marked, F.lit(_places()), F.lit(0))
-    ids = F.transform(places, lambda x: F.try_element_at(known, F.regexp_replace(x, " [SL](?= )", "")))
+    plainly = lambda x: F.regexp_replace(F.regexp_replace(x, " [SL](?= )", ""), "(?<=^neither the name of ).*(?= nor the names of its )", "*")
+    ids = F.transform(places, lambda x: F.try_element_at(known, plainly(x)))
     # only texts with one of the words every known sentence has are normalised
     ids = F.when(F.rlike("text", F.lit(HINT)), ids).otherwise(F.array().cast("array<string>"))
     d = d.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), ids.alias("ids"))
     found = F.concat(F.array_join("ids", ";"), F.lit(";"))
-    for licence, rule in RULES:
+    for licence, rule in NOTICE_RULES:
         # identifiers are lower case, so a licence in brackets is no part of a later rule
         found = F.replace(found, F.lit(";".join(rule) + ";"), F.lit(f"[{licence}];"))
     d = d.withColumn("found", F.filter(F.split(found, ";"), lambda x: x != ""))

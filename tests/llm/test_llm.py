@@ -251,6 +251,66 @@ def test_licence_lines(spark):
     assert found == {1: once, 2: once, 3: once, 4: once, 5: ("MIT", 1, "mit-ref"), 6: ("Apache-2.0", 3, ",".join(["apache-ref"] * 3)), 7: ("", 0, ""), 8: ("Apache-2.0", 1, "apache-the"), 9: ("", 0, ""), 10: ("CC-BY-4.0", 1, "ccby4-ref")}
 
 
+#: The notices as their licences print them.
+NOTICES = {
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+""",
+    "Apache-2.0": """Copyright 2020 A. Body
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+""",
+    "MIT": """The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+""",
+}
+THIRD = """
+3. Neither the name of %s nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_licence_notices(spark):
+    """Every rule of several sentences from its notice, plain and as a comment."""
+    wanted = [(name, text) for name, text in NOTICES.items()]
+    wanted += [("BSD-3-Clause", NOTICES["BSD-2-Clause"] + THIRD % x) for x in ("the copyright holder", "the University of\nA, B and C")]
+    wanted += [(name, "Some head\n" + "\n".join(" * " + x for x in text.split("\n"))) for name, text in wanted]
+    found = {r["doc_id"]: (r["licences"], r["n_matches"], r["unmatched"]) for r in licences.scan(frame(spark, [(i, t) for i, (_, t) in enumerate(wanted)])).collect()}
+    assert found == {i: (name, 1, "") for i, (name, _) in enumerate(wanted)}
+
+
 @pytest.mark.parametrize("name", ["op2_chat_formatting", "op6_licence_scan"])
 def test_sql(spark, sf_dir, name):
     import duckdb
