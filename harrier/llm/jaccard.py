@@ -184,6 +184,16 @@ def _need(x: Column, y: Column, share: int) -> Column:
     return F.ceil((x + y) * share / (100 + share)) - F.greatest(behind(x), behind(y))
 
 
+def _least_need(n: Column, low: Column, high: Column, share: int) -> Column:
+    """A lower bound of ``_need`` of a set of size n over all sizes low to high, low <= high.
+
+    Up to n the need grows with the other size, so it is least at low. Above n it falls, but its two ceilings step at
+    different sizes, so an inner size may need one token less than high; more than one it cannot.
+    """
+    above = _need(n, high, share) - F.when((low < high) & (n < high), 1).otherwise(0)
+    return F.least(_need(n, low, share), above)
+
+
 #: Bits of the filter in front of a join with texts: a fixed size, whatever the number of nodes.
 BITS = 1 << 22
 
@@ -279,8 +289,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 1
     # sizes of members that can link with the query, and the least shared prefix that leaves room for a link
     low = F.greatest(F.col("g_min"), F.ceil(F.col("n") * share / 100))
     high = F.least(F.col("g_max"), F.floor(F.col("n") * 100 / share))
-    need = F.least(_need(F.col("n"), low, share), _need(F.col("n"), high, share))
-    queries = checkpoint(shared.where((low <= high) & (F.col("c") >= need)).select("grp", "node", "comp"))
+    queries = checkpoint(shared.where((low <= high) & (F.col("c") >= _least_need(F.col("n"), low, high, share))).select("grp", "node", "comp"))
     members = nodes.select("grp", "node", "comp").join(queries.select("grp").distinct(), "grp", "left_semi")
     further = _links(members, queries, _texts(source, sets, members.select("node").union(queries.select("node"))), k, share)
 

@@ -92,6 +92,17 @@ def test_jaccard_chain_and_short(spark):
     assert got(jaccard.near_duplicates(frame(spark, rows)), "doc_id", "n_shingles", "component_id") == brute.components(rows)
 
 
+def test_jaccard_least_need(spark):
+    """No size within a block's range needs fewer shared tokens than the bound, from sizes and prefixes counted anew."""
+    behind = {n: -(-75 * n // 100) - 1 for n in range(1, 140)}
+    rows = [(n, low, low + wide) for n in range(1, 100) for low in range(-(-75 * n // 100), n * 100 // 75 + 1) for wide in range(0, 7) if low + wide <= n * 100 // 75]
+    found = spark.createDataFrame(rows, "n long, low long, high long").select("n", "low", "high", jaccard._least_need(F.col("n"), F.col("low"), F.col("high"), 75).alias("need")).collect()
+    need = lambda x, y: -(-75 * (x + y) // 175) - max(behind[x], behind[y])
+    least = {(n, low, high): min(need(n, y) for y in range(low, high + 1)) for n, low, high in rows}
+    assert least[26, 26, 28] == 3
+    assert all(least[r[0], r[1], r[2]] - 1 <= r["need"] <= least[r[0], r[1], r[2]] for r in found) and len(found) == len(rows)
+
+
 def test_jaccard_whole(spark, sf_dir, whole):
     assert got(ALL["op7_jaccard_join"](spark, sf_dir), "doc_id", "n_shingles", "component_id") == brute.components(whole)
 
