@@ -51,11 +51,16 @@ def page_titles(spark, d):
 SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN CAST(floor(o_totalprice) AS BIGINT) * 1000
   WHEN floor(o_totalprice) >= 1000 THEN CAST(floor(o_totalprice) AS BIGINT) END AS fine FROM orders""")
 def written_fines(spark, d):
-    """The largest fine of a sentence made from an order, as the fixtures' prose holds none; low orders speak of a fee."""
-    amount = F.floor("o_totalprice").cast("string")
-    unit = F.when(F.col("o_orderpriority") == "1-URGENT", " k euros").otherwise(" euros")
-    what = F.when(F.col("o_orderpriority") == "5-LOW", "The fee is ").otherwise("The authority imposed a fine of ")
-    said = F.concat(what, amount, unit, F.lit(" on the firm."))
+    """The largest fine of a sentence made from an order, as the fixtures' prose holds none; low orders speak of a fee. By order
+    key the amount stands behind or before the penalty word, the currency behind or before the number, or a smaller amount first."""
+    n = F.floor("o_totalprice").cast("string")
+    k = F.when(F.col("o_orderpriority") == "1-URGENT", " k").otherwise("")
+    form = F.col("o_orderkey") % 4
+    fined = F.when(form == 0, F.concat(F.lit("The authority imposed a fine of "), n, k, F.lit(" euros on the firm.")))
+    fined = fined.when(form == 1, F.concat(F.lit("The firm must pay "), n, k, F.lit(" euros, a penalty set by the authority.")))
+    fined = fined.when(form == 2, F.concat(F.lit("The firm was fined EUR "), n, k, F.lit(" by the authority.")))
+    fined = fined.otherwise(F.concat(F.lit("After a fine of 900 euros came one of "), n, k, F.lit(" euros.")))
+    said = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("The fee is "), n, F.lit(" euros on the firm."))).otherwise(fined)
     return table(spark, d, "orders").select("o_orderkey", T.largest_fine(said).alias("fine"))
 
 
