@@ -1,17 +1,17 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Counts of n-grams by language are summed by Spark; the log-probability matrix (languages x buckets, both bounded) is
-broadcast with the task and batches are scored sparsely in numpy.
+Counts of n-grams by language are summed by Spark, a block of at most ``max_langs`` languages at a time; the counts above
+zero are broadcast. A task holds the log-probability matrix (languages x buckets, both bounded) of one block at a time,
+scores a batch sparsely in numpy with each block and keeps the best over the blocks, so every label is learned.
 
 Defined cases: a null text, or one with no letter, is ``und`` with score 0. Rows with null lang teach nothing. With no
-labelled row every text is ``und``. Languages beyond the ``max_langs`` most frequent labels are not learned, a bound
-on the size of the model. Long texts are scored block by block. Repeated rows each give a row.
+labelled row every text is ``und``. Above ``max_langs`` labels each further block costs another pass. Long texts are scored block by block. Repeated rows each give a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -54,60 +54,86 @@ def has_letter(text: str | None) -> bool:
 class Model:
     langs: list[str]
     prior: np.ndarray
-    #: buckets x languages
-    logp: np.ndarray
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not has_letter(text):
-            return "und", 0.0
-        total = np.zeros(len(self.langs))
-        for bucket in grams(text, len(self.logp)):
-            # the block's sparse count vector times the matrix
-            count = np.bincount(bucket, minlength=len(self.logp)) if len(bucket) > len(self.logp) else None
-            total += count @ self.logp if count is not None else self.logp[bucket].sum(axis=0, dtype=np.float64)
-        # n-grams of several orders tell the same letters again, so their evidence is averaged over the orders
-        margin = total / len(ORDERS) + self.prior
-        p = np.exp(margin - margin.max())
-        k = int(np.argmax(margin))
-        return self.langs[k], float(p[k] / p.sum())
+    buckets: int = BUCKETS
+    smooth: float = 0.5
+    #: languages to a block
+    wide: int = 200
+    #: of each block of languages: bucket, language in the block and count of those above 0
+    counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    _held: tuple[int, np.ndarray] | None = None
+
+    def logp(self, block: int) -> np.ndarray:
+        """buckets x languages of the block; the last one asked for is held."""
+        if self._held is None or self._held[0] != block:
+            self._held = None
+            b, k, n = self.counts[block]
+            total = np.full((self.buckets, min(self.wide, len(self.langs) - block * self.wide)), self.smooth)
+            total[b, k] += n
+            self._held = (block, np.log(total / total.sum(axis=0)))
+        return self._held[1]
+
+    def predict(self, texts: pa.Array) -> list[tuple[str, float]]:
+        best, most, total = np.full(len(texts), -1), np.full(len(texts), -np.inf), np.zeros(len(texts))
+        for block in range(len(self.counts)):
+            logp, at = self.logp(block), block * self.wide
+            for i in range(len(texts)):
+                text = texts[i].as_py()
+                if not has_letter(text):
+                    continue
+                score = np.zeros(logp.shape[1])
+                for bucket in grams(text, len(logp)):
+                    # the block's sparse count vector times the matrix
+                    count = np.bincount(bucket, minlength=len(logp)) if len(bucket) > len(logp) else None
+                    score += count @ logp if count is not None else logp[bucket].sum(axis=0, dtype=np.float64)
+                # n-grams of several orders tell the same letters again, so their evidence is averaged over the orders
+                margin = score / len(ORDERS) + self.prior[at : at + logp.shape[1]]
+                k = int(np.argmax(margin))
+                here = np.exp(margin - margin[k]).sum()
+                if margin[k] > most[i]:
+                    best[i], most[i], total[i] = at + k, margin[k], here + total[i] * np.exp(most[i] - margin[k])
+                else:
+                    total[i] += here * np.exp(margin[k] - most[i])
+        return [(self.langs[k], float(1 / t)) if k >= 0 else ("und", 0.0) for k, t in zip(best, total, strict=True)]
 
 
 def fit(docs: DataFrame, buckets: int = BUCKETS, smooth: float = 0.5, max_langs: int = 200) -> Model:
-    """Learn from the (text, lang) columns of every row of ``docs`` that has a lang."""
+    """Learn from the (text, lang) columns of every row of ``docs`` that has a lang, ``max_langs`` languages at a time."""
     labelled = plain(docs, "text", "lang").where("lang is not null and text is not null")
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()  # bounded by max_langs
-    langs = sorted(r["lang"] for r in frequent)
+    by = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row for each label
+    langs = sorted(by)
     if not langs:
-        return Model([], np.zeros(0), np.zeros((buckets, 0)))
-    index = {name: i for i, name in enumerate(langs)}
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Combine a task's counts before the shuffle: at most languages x buckets rows leave it."""
-        total = np.zeros((len(langs), buckets), np.int64)
-        for text, lang in rows(batches, "text", "lang"):
-            if lang in index and has_letter(text):
-                for b in grams(text, buckets):
-                    np.add.at(total[index[lang]], b, 1)
-        k, b = np.nonzero(total)
-        yield pa.RecordBatch.from_pydict({"k": pa.array(k.astype(np.int32)), "b": pa.array(b.astype(np.int32)), "n": pa.array(total[k, b])})
-
-    got = labelled.mapInArrow(count, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toArrow()
-    total = np.full((buckets, len(langs)), smooth)
-    total[got.column("b").to_numpy(), got.column("k").to_numpy()] += got.column("n").to_numpy()
-    by = {r["lang"]: r["count"] for r in frequent}
+        return Model([], np.zeros(0))
+
+    def counted(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        index = {name: i for i, name in enumerate(some)}
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Combine a task's counts before the shuffle: at most languages x buckets rows leave it."""
+            total = np.zeros((len(some), buckets), np.int64)
+            for text, lang in rows(batches, "text", "lang"):
+                if lang in index and has_letter(text):
+                    for b in grams(text, buckets):
+                        np.add.at(total[index[lang]], b, 1)
+            k, b = np.nonzero(total)
+            yield pa.RecordBatch.from_pydict({"k": pa.array(k.astype(np.int32)), "b": pa.array(b.astype(np.int32)), "n": pa.array(total[k, b])})
+
+        got = labelled.mapInArrow(count, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n")).toArrow()
+        return got.column("b").to_numpy(), got.column("k").to_numpy(), got.column("n").to_numpy()
+
     prior = np.log(np.array([by[x] for x in langs]) / sum(by.values()))
-    return Model(langs, prior, np.log(total / total.sum(axis=0)))
+    counts = [counted(langs[at : at + max_langs]) for at in range(0, len(langs), max_langs)]
+    return Model(langs, prior, buckets, smooth, max_langs, counts)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, lang_pred, score."""
-    broadcast = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets doubles at most
+    broadcast = docs.sparkSession.sparkContext.broadcast(model)  # counts above 0, languages x buckets at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = broadcast.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            got = [m.predict(texts[i].as_py()) for i in range(batch.num_rows)]
+            got = m.predict(texts)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array([g[0] for g in got], pa.string()), "score": pa.array([g[1] for g in got], pa.float64())})
 
     return plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -122,7 +148,7 @@ def keep(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
         m = broadcast.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            got = [m.predict(texts[i].as_py()) for i in range(batch.num_rows)]
+            got = m.predict(texts)
             at = batch.schema.get_field_index("lang")
             lang = [x if x is not None else g[0] for x, g in zip(batch.column(at).to_pylist(), got, strict=True)]
             batch = batch.set_column(at, "lang", pa.array(lang, pa.string()))

@@ -212,6 +212,17 @@ def test_bounded_shards_move_little(spark, odd):
     assert all(a[d] == b[d] or b[d] == 8 for d in a)
 
 
+def test_language_blocks(spark, sf_dir):
+    """Every label is learned, whatever the number of languages held at once."""
+    rows = [(i, chr(0x4E00 + 3 * i) * 40, f"l{i:03}") for i in range(203)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    assert got(language.predict(docs, language.fit(docs)), "doc_id", "lang_pred") == sorted(((i, x) for i, _, x in rows), key=repr)
+    some = queries.table(spark, sf_dir, "documents").limit(150)
+    one, split = (got(language.predict(some, language.fit(some, max_langs=n)), "doc_id", "lang_pred", "score") for n in (200, 3))
+    assert [r[:2] for r in one] == [r[:2] for r in split] and len({r[1] for r in one}) > 3
+    assert [r[2] for r in one] == pytest.approx([r[2] for r in split])
+
+
 def test_fingerprints(spark, odd, sf_dir, whole):
     found = ALL["op9_fingerprints"](spark, sf_dir)
     assert got(found, "doc_id", "n_chars", "edited_sha256") == brute.edits(whole)
