@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -123,25 +124,43 @@ def utf8(text: str | None) -> bytes:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a file in the shared checkpoint folder; a folder is made only where none is set."""
+    """Cut the lineage with a file in the shared checkpoint folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that driver and executors share; one is made only where none is set."""
+    """The checkpoint folder that driver and executors share. Only a local session may do without: it gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="harrier-checkpoint-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a table in the shared folder: compressed, so for wide rows smaller than a checkpoint."""
-    path = f"{shared_folder(df.sparkSession)}/harrier-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables of one job in the shared folder. They cut the lineage and are compressed, so smaller than checkpoints."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/harrier-{uuid.uuid4().hex}"
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+        self.made = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path, self.made = f"{self.folder}/{self.made}", self.made + 1
+        df.write.option("compression", "zstd").parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(found)] = (found, path)
+        return found
+
+    def empty(self, *frames: DataFrame | None) -> None:
+        """Give the disk of tables back that nothing reads any more: an empty table takes their place."""
+        for df in frames:
+            if df is not None and id(df) in self.paths:
+                self.spark.range(0).write.mode("overwrite").parquet(self.paths.pop(id(df))[1])
 
 
 def plain(df: DataFrame, *names: str) -> DataFrame:
@@ -149,20 +168,24 @@ def plain(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`").alias(n) for n in names])
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges`` (a, b): rows (node, label), label the smallest node of the component.
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Connected components of ``edges`` (a, b): rows (node, label, old), label the smallest node of the component.
 
     Labels spread along edges by a grouped minimum, then jump to the label of their label. The minimum is
     combined before the shuffle, so a node with very many edges does not gather them in a task. Each round is written as
     a table: a checkpointed frame would hand its plan's constraints on, which double with every round.
     """
-    both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    both = scratch.write(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    labels = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         lower = labels.join(near, "node").select("node", F.least("label", "m").alias("new"), F.col("label").alias("old"))
-        jump = labels.select(F.col("node").alias("new"), F.col("label").alias("further"))
-        after = written(lower.join(jump, "new").select("node", F.least("new", "further").alias("label"), "old"))
+        # only labels that have a lower label themselves are looked up, each once
+        jump = labels.where("label < node").select(F.col("node").alias("new"), F.col("label").alias("further"))
+        jump = jump.join(lower.select("new").distinct(), "new")
+        after = scratch.write(lower.join(jump, "new", "left").select("node", F.least("new", "further").alias("label"), "old"))
+        scratch.empty(labels)
         if after.where("label <> old").isEmpty():
-            return after.select("node", "label")
-        labels = after.select("node", "label")
+            scratch.empty(both)
+            return after
+        labels = after

@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, components, plain, rows, set_key, shingle_set, utf8, written
+from .common import Scratch, components, plain, rows, set_key, shingle_set, utf8
 
-#: Tokens counted as frequent at most; they only order the prefixes, so the bound costs no link.
+#: Tokens counted as frequent at most; they only order the prefixes and split long lists, so the bound costs no link.
 FREQUENT = 100_000
+#: Rows of a token's list above which it is split, each part with a leader of its own.
+LONG = 50_000
 _SLICE = 4_000_000
 
 
@@ -48,10 +50,10 @@ def _summary(k: int):
         def frequent() -> pa.RecordBatch:
             token, n = np.unique(np.concatenate(held), return_counts=True)
             often = n >= 3
-            return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(often.sum(), np.int32)), "id": pa.array(token[often].view(np.int64)), "n": pa.array(n[often]), "node": pa.array(np.zeros(often.sum(), np.int64)), "th": pa.array(np.zeros(often.sum(), np.int64))})
+            return pa.RecordBatch.from_pydict({"kind": pa.array(np.ones(often.sum(), np.int32)), "id": pa.array(token[often].view(np.int64)), "n": pa.array(n[often]), "node": pa.array(np.zeros(often.sum(), np.int64)), "key": pa.array(np.zeros(often.sum(), np.int64))})
 
         for batch in batches:
-            ids, texts, th = batch.column(0), batch.column(1), batch.column(2)
+            ids, texts, keys = batch.column(0), batch.column(1), batch.column(2)
             n, node = [], []
             for i in range(batch.num_rows):
                 t = _tokens(texts[i].as_py(), k)
@@ -62,7 +64,7 @@ def _summary(k: int):
                 if size >= _SLICE:
                     yield frequent()
                     held, size = [], 0
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(n), np.int32)), "id": ids, "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()), "th": th})
+            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(len(n), np.int32)), "id": ids, "n": pa.array(n, pa.int64()), "node": pa.array(node, pa.int64()), "key": keys})
         if held:
             yield frequent()
 
@@ -70,7 +72,8 @@ def _summary(k: int):
 
 
 def _prefixes(k: int, share: int, common: tuple[np.ndarray, np.ndarray]):
-    """Rows (token, node, n): each distinct set's rarest tokens. ``common``: frequent tokens, sorted, and their counts."""
+    """Rows (token, salt, node, n): each distinct set's rarest tokens. ``common``: frequent tokens, sorted, and their
+    counts. The list of a token that is counted more than ``LONG`` times is split by salts from 1 on."""
     known, count = common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +84,8 @@ def _prefixes(k: int, share: int, common: tuple[np.ndarray, np.ndarray]):
             token = np.concatenate([o[0] for o in out])
             node = np.repeat(np.array([o[1] for o in out], np.int64), [len(o[0]) for o in out])
             n = np.repeat(np.array([o[2] for o in out], np.int64), [len(o[0]) for o in out])
-            return pa.RecordBatch.from_pydict({"token": pa.array(token.view(np.int64)), "node": pa.array(node), "n": pa.array(n)})
+            salt = np.concatenate([o[3] for o in out])
+            return pa.RecordBatch.from_pydict({"token": pa.array(token.view(np.int64)), "salt": pa.array(salt), "node": pa.array(node), "n": pa.array(n)})
 
         for (text,) in rows(batches, "text"):
             t = _tokens(text, k)
@@ -97,10 +101,12 @@ def _prefixes(k: int, share: int, common: tuple[np.ndarray, np.ndarray]):
             if len(known):
                 at = np.minimum(np.searchsorted(known, t), len(known) - 1)
                 weight = np.where(known[at] == t, count[at], 0)
-                chosen = t[np.argsort(weight, kind="stable")[:take]] if weight.any() else t[:take]
+                pick = np.argsort(weight, kind="stable")[:take]
+                chosen, parts = t[pick], 1 + weight[pick] // LONG
+                salt = np.where(parts > 1, 1 + key % parts, 0).astype(np.int32)
             else:
-                chosen = t[:take]
-            out.append((chosen, key, n))
+                chosen, salt = t[:take], np.zeros(take, np.int32)
+            out.append((chosen, key, n, salt))
             held += take
             if held >= 200_000:
                 yield flush()
@@ -114,10 +120,11 @@ def _prefixes(k: int, share: int, common: tuple[np.ndarray, np.ndarray]):
 
 
 def _open(k: int, share: int):
-    """Open qualifying groups. Input sorted by (grp, part, role): a group's members, role 0, then its queries."""
+    """Open qualifying groups. Input sorted by (grp, part, role, node): a group's members, role 0, then its queries. A
+    node whose document is repeated comes more than once; its repeats are passed over."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, members, matrix = None, [], None
+        current, members, matrix, last = None, [], None, None
         a, b = [], []
 
         def build():
@@ -130,7 +137,10 @@ def _open(k: int, share: int):
 
         for grp, part, role, node, comp, text in rows(batches, "grp", "part", "role", "node", "comp", "text"):
             if (grp, part) != current:
-                current, members, matrix = (grp, part), [], None
+                current, members, matrix, last = (grp, part), [], None, None
+            if (role, node) == last:
+                continue
+            last = (role, node)
             t = _tokens(text, k)
             if role == 0:
                 members.append((t, node, comp))
@@ -161,14 +171,19 @@ def _open(k: int, share: int):
     return run
 
 
-def _links(members: DataFrame, queries: DataFrame, texts: DataFrame, k: int, share: int, per_part: int = 64) -> DataFrame:
-    """Links (a, b) of queries (grp, node, comp) to members (grp, node, comp), one for each query and component. A group with many queries is opened in several
-    parts, its members repeated in each, so that no task holds all queries of a hot group."""
+def _links(members: DataFrame, queries: DataFrame, source: DataFrame, scratch: Scratch, k: int, share: int, per_part: int = 64) -> DataFrame:
+    """Links (a, b) of queries to members, both (grp, node, comp, held), one for each query and component. A group with
+    many queries is opened in several parts, its members repeated in each, so that no task holds all queries of a hot
+    group. ``held`` is the key of the row whose text stands for the node."""
     parts = queries.groupBy("grp").agg(F.ceil(F.count("*") / per_part).cast("int").alias("parts"))
-    of = members.join(parts, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "node", "comp")
-    asked = queries.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node", "comp")
-    ready = of.union(asked).join(texts, "node").select("grp", "part", "role", "node", "comp", "text")
-    return ready.repartition("grp", "part").sortWithinPartitions("grp", "part", "role").mapInArrow(_open(k, share), "a long, b long")
+    of = members.join(parts, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "node", "comp", "held")
+    asked = queries.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "node", "comp", "held")
+    wanted = scratch.write(of.union(asked))
+    ready = _with_texts(wanted, source).select("grp", "part", "role", "node", "comp", "text")
+    ready = ready.repartition("grp", "part").sortWithinPartitions("grp", "part", "role", "node")
+    found = scratch.write(ready.mapInArrow(_open(k, share), "a long, b long"))
+    scratch.empty(wanted)
+    return found
 
 
 def _need(x: Column, y: Column, share: int) -> Column:
@@ -194,115 +209,159 @@ def _least_need(n: Column, low: Column, high: Column, share: int) -> Column:
     return F.least(_need(n, low, share), above)
 
 
-#: Bits of the filter in front of a join with texts: a fixed size, whatever the number of nodes.
-BITS = 1 << 22
+#: Bits of the filter in front of a join with texts at most, as a power of two: 8 MB. Beyond about ten million nodes it lets more texts through.
+BITS = 26
 
 
-def _texts(source: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the given nodes: of each one text, of the smallest doc_id.
+def _with_texts(wanted: DataFrame, source: DataFrame) -> DataFrame:
+    """``wanted`` with the text of its column ``held``, the key of a row of ``source``.
 
-    A bit map of the ids lets only the texts that may be wanted into the shuffle. Rows that repeat a doc_id and its text
-    only repeat links.
+    A bit map of the keys, made by the executors and no larger than ``BITS`` says, lets only texts into the shuffle that
+    may be wanted. A task sends each key once; what several tasks send is passed over by the reader.
     """
-    holder = sets.join(nodes.distinct(), "node").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("h"))
-    holder = checkpoint(holder.select("node", F.col("h.doc_id").alias("h_id"), F.col("h.th").alias("h_th")))
-    wanted = holder.select((F.xxhash64("h_id", "h_th").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit")).distinct().toArrow()  # BITS rows at most
-    bits = np.zeros(BITS, bool)
-    bits[wanted.column("bit").to_numpy()] = True
-    packed = np.packbits(bits)
+    many = wanted.select(F.approx_count_distinct("held").alias("n")).first()["n"]
+    size = 1 << min(BITS, max(16, (16 * many).bit_length()))
+    bit = F.pmod("held", F.lit(size))
+    words = wanted.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toArrow()  # a row for each 64 bits
+    mask = np.zeros(size >> 6, np.int64)
+    mask[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    shared = wanted.sparkSession.sparkContext.broadcast(mask)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(packed).astype(bool)
+        known, seen = shared.value, set()
         for batch in batches:
-            yield batch.select(["doc_id", "text", "th"]).filter(pa.array(known[batch.column(3).to_numpy()]))
+            key = batch.column(0).to_numpy()
+            at = key & (size - 1)
+            pick = []
+            for i in np.flatnonzero((known[at >> 6] >> (at & 63)) & 1).tolist():
+                if key[i] not in seen:
+                    seen.add(key[i])
+                    pick.append(i)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            if pick:
+                yield batch.take(pa.array(pick))
 
-    some = source.select("doc_id", "text", "th", (F.xxhash64("doc_id", "th").bitwiseAND(F.lit(BITS - 1))).cast("int").alias("bit"))
-    some = some.mapInArrow(run, "doc_id long, text string, th long")
-    return written(some.join(holder, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("th") == F.col("h_th"))).select("node", "text"))
+    some = source.select(F.col("key").alias("held"), "text").mapInArrow(run, "held long, text string")
+    return wanted.join(some, "held")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id. Documents link at 100 * intersection >= share * union."""
+def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> DataFrame:
+    """Per document: doc_id, key (of its doc_id and text), n_shingles, label (of its component) and component_id.
+    Documents link at 100 * intersection >= share * union."""
+    scratch = Scratch(docs.sparkSession)
 
     def fits(x: Column, y: Column) -> Column:
         return (F.least(x, y) * 100) >= (F.greatest(x, y) * share)
 
-    source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("th", F.xxhash64("text"))
-    summary = checkpoint(source.mapInArrow(_summary(k), "kind int, id long, n long, node long, th long"))
-    sets = summary.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "node", "th")
+    source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("key", F.xxhash64("doc_id", "text"))
+    summary = scratch.write(source.mapInArrow(_summary(k), "kind int, id long, n long, node long, key long"))
+    sets = summary.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "node", "key")
     top = summary.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(FREQUENT).toArrow()  # bounded by FREQUENT
     known = top.column("id").to_numpy().view(np.uint64)
     order = np.argsort(known)
     common = (known[order], top.column("n").to_numpy()[order])
 
-    by_token = Window.partitionBy("token")
-    lists = source.select("text").mapInArrow(_prefixes(k, share, common), "token long, node long, n long")
+    by_token = Window.partitionBy("token", "salt")
+    lists = source.select("text").mapInArrow(_prefixes(k, share, common), "token long, salt int, node long, n long")
     lists = (
         lists.withColumn("first", F.min(F.struct("node", "n")).over(by_token))
         .withColumn("last", F.max("node").over(by_token))
-        .where("first.node <> last")
-        .select("token", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
-        .dropDuplicates(["token", "node"])
+        .where("salt > 0 or first.node <> last")
+        .select("token", "salt", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
+        .dropDuplicates(["token", "salt", "node"])
     )
-    lists = checkpoint(lists)
-    links, nodes = None, None
-    for _ in range(2):
-        if nodes is None:
+    lists = scratch.write(lists.drop("salt"))
+    # nodes that share a token, each with one row's key
+    listed = lists.groupBy("node").agg(F.min("leader").alias("leader"))
+    firsts = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("key").alias("held"))
+    base = scratch.write(firsts.join(listed, "node"))
+    links, nodes = None, base.select("node", "n", "held", F.col("node").alias("comp"))
+    for again in (False, True):
+        if not again:
             of = lists.withColumn("comp", F.col("node")).withColumn("leader_comp", F.col("leader"))
         else:
-            mixed = lists.select("token", "node").join(nodes, "node")
+            # lists that hold one component have nothing left to compare
             lead = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("size", "comp", "node", "n")).alias("lead"))
             lead = lead.where("lo <> hi").select("token", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("leader_comp"), F.col("lead.n").alias("leader_n"))
-            of = mixed.select("token", "node", "n", "comp").join(lead, "token")
+            before, lists = lists, scratch.write(mixed.join(lead, "token").select("token", "node", "n", "comp", "leader", "leader_comp", "leader_n"))
+            scratch.empty(before)
+            of = lists
         pairs = of.where((F.col("comp") != F.col("leader_comp")) & fits(F.col("n"), F.col("leader_n")))
         pairs = pairs.groupBy("leader", "node").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("n", "leader_n", "comp", "leader_comp")])
         # these rounds may miss links, the last may not: each node asks the one leader it shares most with
         pairs = pairs.where(F.col("c") * 2 >= _need(F.col("n"), F.col("leader_n"), share)).groupBy("node").agg(F.max(F.struct("c", "leader", "comp", "leader_comp")).alias("best"))
-        pairs = checkpoint(pairs.select(F.col("best.leader").alias("grp"), "node", "best.comp", "best.leader_comp"))
-        leaders = pairs.select("grp", F.col("grp").alias("node"), F.col("leader_comp").alias("comp")).distinct()
-        texts = _texts(source, sets, leaders.select("node").union(pairs.select("node")))
-        more = checkpoint(_links(leaders, pairs.drop("leader_comp"), texts, k, share))
+        pairs = pairs.select(F.col("best.leader").alias("grp"), "node", "best.comp", "best.leader_comp").join(nodes.select("node", "held"), "node")
+        pairs = scratch.write(pairs)
+        leaders = pairs.select("grp", F.col("grp").alias("node"), F.col("leader_comp").alias("comp")).distinct().join(nodes.select("node", "held"), "node")
+        more = _links(leaders, pairs.drop("leader_comp"), source, scratch, k, share)
+        scratch.empty(pairs)
         links = more if links is None else links.union(more)
 
-        nodes = lists.groupBy("node").agg(F.first("n").alias("n"), F.min("leader").alias("leader"))
-        nodes = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("label", "node"))
+        labels = components(links, scratch)
+        nodes = base.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node"))
         sizes = nodes.groupBy("comp").agg(F.count("*").alias("size"))
         nodes = nodes.join(sizes, "comp").withColumn("many", F.col("size") > 1).withColumn("near", F.when(F.col("many"), F.col("comp")).otherwise(F.col("leader")))
-        nodes = checkpoint(nodes.select("node", "n", "comp", "size", "many", "near"))
+        nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", "near"))
+        scratch.empty(labels)
+        mixed = lists.select("token", "node").join(nodes.select("node", "n", "comp", "size"), "node")
     # members of like sizes, so that the bound of a group is close to its members' own
     nodes = nodes.withColumn("scale", F.floor(F.log("n") * 12))
     kinds = ["near", "many", "scale"]
     blocks = nodes.groupBy(*kinds).agg(F.ceil(F.count("*") / block).alias("blocks"))
     nodes = nodes.join(blocks, kinds)
-    nodes = checkpoint(nodes.select("node", "n", "comp", "size", "many", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
+    nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", "scale", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
 
-    # lists that hold one component have nothing left to compare
-    mixed = lists.select("token", "node").join(nodes, "node")
+    mixed = lists.select("token", "node").join(nodes.drop("held"), "node")
     open_lists = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    mixed = checkpoint(mixed.join(open_lists, "token"))
-    held = mixed.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"))
+    mixed = scratch.write(mixed.join(open_lists, "token"))
+    scratch.empty(lists)
+    held = mixed.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"), F.first("scale").alias("g_scale"))
     ranges = nodes.groupBy("grp").agg(F.min("n").alias("g_min"), F.max("n").alias("g_max"))
-    q = mixed.select("token", "node", "n", "comp", "size", F.col("many").alias("q_many"), F.col("grp").alias("q_grp"))
+    q = mixed.select("token", "node", "n", "comp", "size", "scale", F.col("many").alias("q_many"), F.col("grp").alias("q_grp"))
     larger = F.col("many") & (F.col("g_comp") != F.col("comp")) & (F.struct("g_size", "g_comp") > F.struct("size", "comp"))
     alone = ~F.col("many") & ~F.col("q_many") & (F.col("q_grp") <= F.col("grp"))
-    shared = q.join(held, "token").where(larger | alone).groupBy("grp", "node").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("comp").alias("comp")).join(ranges, "grp")
+    # sizes that can link lie at most so many scales apart
+    apart = int(12 * np.log(100 / share)) + 1
+    shared = q.join(held, "token").where((larger | alone) & (F.abs(F.col("scale") - F.col("g_scale")) <= apart))
+    shared = shared.groupBy("grp", "node").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("comp").alias("comp")).join(ranges, "grp")
     # sizes of members that can link with the query, and the least shared prefix that leaves room for a link
     low = F.greatest(F.col("g_min"), F.ceil(F.col("n") * share / 100))
     high = F.least(F.col("g_max"), F.floor(F.col("n") * 100 / share))
-    queries = checkpoint(shared.where((low <= high) & (F.col("c") >= _least_need(F.col("n"), low, high, share))).select("grp", "node", "comp"))
-    members = nodes.select("grp", "node", "comp").join(queries.select("grp").distinct(), "grp", "left_semi")
-    further = _links(members, queries, _texts(source, sets, members.select("node").union(queries.select("node"))), k, share)
+    queries = shared.where((low <= high) & (F.col("c") >= _least_need(F.col("n"), low, high, share))).select("grp", "node", "comp")
+    queries = scratch.write(queries.join(nodes.select("node", "held"), "node"))
+    scratch.empty(mixed)
+    members = nodes.select("grp", "node", "comp", "held").join(queries.select("grp").distinct(), "grp", "left_semi")
+    links = links.union(_links(members, queries, source, scratch, k, share))
+    scratch.empty(queries)
+
+    # a component is named by the smallest doc_id of its nodes; a set without shingles links with nothing and keeps its own
+    final = components(links, scratch)
+    least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    labelled = scratch.write(least.join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least"))
+    names = scratch.write(labelled.groupBy("label").agg(F.min("least").alias("name")))
+    named = scratch.write(labelled.join(names, "label").select("node", "label", "name"))
+    found = sets.join(named, "node", "left")
+    return found.select("doc_id", "key", F.col("n").alias("n_shingles"), "label", F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
+
 
-    final = components(links.union(further))
-    named = sets.join(final, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "node").alias("label"))
-    # a set without shingles links with nothing: it keeps its own id
-    names = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("name"))
-    return named.join(names, "label", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
+def near_duplicates(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    return classes(docs, k, share, block).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, share: int = 75) -> DataFrame:
-    """One document of each component, the one that names it, with all its columns; of rows that repeat its doc_id
-    one is kept. Rows with null doc_id have no name to stay under and are all kept."""
-    kept = near_duplicates(docs, k, share).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, docs["doc_id"] == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(docs["doc_id"].isNull()))
+    """One document of each component with all its columns: of the smallest doc_id, null ids last, then of the smallest
+    key. Of rows that repeat its doc_id and text one is kept. Documents without a word are components of their own:
+    all of different ids or texts are kept."""
+    scratch = Scratch(docs.sparkSession)
+    found = classes(docs, k, share).select("doc_id", "key", "label")
+    linked = found.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    kept = scratch.write(linked.select(F.col("first.key").alias("kept")).union(found.where("label is null").select("key")).groupBy("kept").agg(F.lit(1).alias("one")).select("kept"))
+    many = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("kept"))
+    many = scratch.write(many.join(kept, "kept", "left_semi"))
+    rows_of = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("doc_id").cast("long"), "text").alias("kept"))
+    # few documents are repeated whole: only they are dealt out to be counted once
+    once = rows_of.join(kept.join(many, "kept", "left_anti"), "kept", "left_semi")
+    again = rows_of.join(many, "kept", "left_semi").dropDuplicates(["kept"])
+    return once.union(again).select("row.*")
