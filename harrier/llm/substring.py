@@ -9,11 +9,13 @@ and 35 words for the default: only windows whose part of one length occurs twice
 3. Within each repeated part the whole windows are counted.
 
 Each task first combines equal hashes of its own slice: what it has seen twice is known to repeat and is sent on once, so a
-passage in a third of all rows sends one row for each slice, not one for each copy.
+passage in a third of all rows sends one row for each slice, not one for each copy. A row that repeats doc_id and text is
+read once in a slice, with all its windows known to repeat.
 
 Defined cases: a null or empty text has no words; n_words 0 and the digest of the empty text. Texts shorter than a
 window keep all words. Repeated rows repeat each other's windows. Null doc_ids are rows like others. Very long texts
-are windowed block by block. An empty table gives an empty result; other columns are ignored by ``repeats``.
+are windowed block by block. An empty table gives an empty result; other columns, whatever their names, are ignored by
+``repeats`` and kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import join_hashes, plain, rows, utf8, windows, word_hashes
+from .common import join_hashes, rows, utf8, windows, word_hashes
 
 WINDOW = 35
 _BLOCK = 1 << 19
@@ -82,18 +85,45 @@ def _twice(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (n > 1)[back], lead
 
 
+class _Slice:
+    """The blocks a task holds until they are compared, each document once."""
+
+    def __init__(self):
+        self.held: list[tuple] = []
+        self.count = 0
+        self.seen: dict[tuple, list] = {}
+
+    def again(self, doc_id: int | None, th: int) -> bool:
+        """Whether the document is held already; if so its blocks are marked as repeated."""
+        mark = self.seen.get((doc_id, th))
+        if mark is None:
+            self.seen[doc_id, th] = [False]
+            return False
+        mark[0] = True
+        return True
+
+    def add(self, *entry) -> None:
+        self.held.append((*entry, self.seen[entry[-2:]]))
+        self.count += len(entry[0])
+
+    def repeated(self, owner: np.ndarray) -> np.ndarray:
+        return np.array([x[-1][0] for x in self.held])[owner]
+
+
 def _first_level(size: int):
     """Rows (part, doc_id, th, at, n): n is 1 for a part seen once in the slice, 2 for the one row that stands for a
     part seen more often, and 0 for a place already known to repeat, which needs no comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        some = _Slice()
 
         def flush() -> pa.RecordBatch:
+            held = some.held
             h = np.concatenate([x[0] for x in held])
             at = np.concatenate([x[1] for x in held])
             owner = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
             many, lead = _twice(h)
+            many |= some.repeated(owner)
             once, stand = np.flatnonzero(~many), np.flatnonzero(many & lead)
             known = np.flatnonzero(many)
             pick = np.concatenate([once, stand, known])
@@ -105,15 +135,16 @@ def _first_level(size: int):
             return pa.RecordBatch.from_pydict({"part": pa.array(part), "doc_id": ids, "th": pa.array(th), "at": pa.array(at[pick]), "n": pa.array(n)})
 
         for doc_id, text, th in rows(batches, "doc_id", "text", "th"):
+            if some.again(doc_id, th):
+                continue
             for start, words in _blocks(word_hashes(utf8(text)), size):
                 level = _Levels(words, size)
                 at = np.unique(level.at1)
-                held.append((level.h1[at], at + start, doc_id, th))
-                count += len(at)
-            if count >= _SLICE:
+                some.add(level.h1[at], at + start, doc_id, th)
+            if some.count >= _SLICE:
                 yield flush()
-                held, count = [], 0
-        if held:
+                some = _Slice()
+        if some.held:
             yield flush()
 
     return run
@@ -124,14 +155,16 @@ def _next_levels(size: int):
     for, by offset from ``base``. n as above; with n 0, ``whole`` holds one bit mask of offsets known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = [], 0
+        some = _Slice()
         width = size - lengths(size)[1] + 1
 
         def flush() -> pa.RecordBatch:
             # one entry for each window still alive
+            held = some.held
             part, base, offset, whole = (np.concatenate([x[i] for x in held]) for i in range(4))
             owner = np.repeat(np.arange(len(held)), [len(x[0]) for x in held])
             many, lead = _twice(whole)
+            many |= some.repeated(owner)
             ids, ths = pa.array([x[4] for x in held], pa.int64()), np.array([x[5] for x in held], np.int64)
             out = {k: [] for k in ("part", "doc_id", "th", "base", "n", "whole")}
             for n, pick in ((1, ~many), (2, many & lead), (0, many)):
@@ -161,6 +194,8 @@ def _next_levels(size: int):
             return pa.RecordBatch.from_pydict({k: pa.concat_arrays(v) if isinstance(v[0], pa.Array) else pa.array(np.concatenate(v)) for k, v in out.items()})
 
         for doc_id, text, th, places in rows(batches, "doc_id", "text", "th", "places"):
+            if some.again(doc_id, th):
+                continue
             known = np.array(places, np.int64)
             for start, words in _blocks(word_hashes(utf8(text)), size):
                 level = _Levels(words, size)
@@ -172,12 +207,11 @@ def _next_levels(size: int):
                 base = part - (width - 1)
                 whole = level.h3[alive]
                 whole[whole == 0] = 1
-                held.append((level.h2[part], base + start, alive - base, whole, doc_id, th))
-                count += len(alive)
-            if count >= _SLICE:
+                some.add(level.h2[part], base + start, alive - base, whole, doc_id, th)
+            if some.count >= _SLICE:
                 yield flush()
-                held, count = [], 0
-        if held:
+                some = _Slice()
+        if some.held:
             yield flush()
 
     return run
@@ -203,7 +237,7 @@ def marks(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     first = source.mapInArrow(_first_level(size), "part long, doc_id long, th long, at long, n int")
     # n is 0 for places known to repeat; of a part sent as 2 the row itself is among those
     first = first.withColumn("total", F.sum("n").over(part)).where("n = 0 or (n = 1 and total > 1)")
-    places = first.groupBy(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th")).agg(F.collect_list("at").alias("places"))
+    places = first.groupBy(F.col("doc_id").alias("p_id"), F.col("th").alias("p_th")).agg(F.collect_set("at").alias("places"))
     found = source.join(places, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("th") == F.col("p_th"))).select("doc_id", "text", "th", "places")
     # identical rows share their places; only the rows of one (doc_id, th) meet here
     later = found.mapInArrow(_next_levels(size), "part long, doc_id long, th long, base long, n int, whole array<long>")
@@ -215,13 +249,16 @@ def marks(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     return later.groupBy("doc_id", "th").agg(F.collect_list(F.struct("base", "mask")).alias("marks"))
 
 
-def _source(docs: DataFrame, *more: str) -> DataFrame:
-    return plain(docs, "doc_id", "text", *more).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("th", F.xxhash64("text"))
+def _source(docs: DataFrame, *more: Column) -> DataFrame:
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.xxhash64("text").alias("th")]
+    return docs.select(*own, *more)
 
 
-def _with_marks(docs: DataFrame, size: int, *more: str) -> DataFrame:
+def _with_marks(docs: DataFrame, size: int, *more: Column) -> DataFrame:
+    """Rows (doc_id, text, th, more.., marks)."""
     found = marks(docs, size).withColumnRenamed("doc_id", "m_id").withColumnRenamed("th", "m_th")
-    return _source(docs, *more).join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left").select("doc_id", "text", *more, "marks")
+    both = _source(docs, *more).join(found, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("th") == F.col("m_th")), "left")
+    return both.drop("m_id", "m_th")
 
 
 def _kept_words(text: str | None, found: list[dict] | None, size: int) -> tuple[list[bytes], int]:
@@ -251,9 +288,9 @@ def repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without the words of repeated windows. A text that loses none is left as it is; a text that
     loses all its words is dropped. n_chars, where there is one, follows the text. Other columns stay."""
-    names = docs.columns
-    others = [n for n in names if n not in ("doc_id", "text")]
-    joined = _with_marks(docs, size, *others)
+    joined = _with_marks(docs, size, F.struct("*").alias("row")).select("row", "text", "marks")
+    kinds = {"doc_id": LongType(), "n_chars": LongType()}
+    fields = StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in docs.schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,10 +303,10 @@ def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
                 else:
                     keep.append(True)
                 texts.append(text)
-            out = {n: batch.column(batch.schema.get_field_index(n)) for n in names} | {"text": pa.array(texts, pa.string())}
+            out = {f.name: column for f, column in zip(fields, batch.column(0).flatten(), strict=True)} | {"text": pa.array(texts, pa.string())}
             if "n_chars" in out:
                 out["n_chars"] = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+            out["doc_id"] = out["doc_id"].cast(pa.int64())
             yield pa.RecordBatch.from_pydict(out).filter(pa.array(keep, pa.bool_()))
 
-    kinds = ", ".join(f"`{n}` {'long' if n in ('doc_id', 'n_chars') else docs.schema[n].dataType.simpleString()}" for n in names)
-    return joined.mapInArrow(run, kinds)
+    return joined.mapInArrow(run, fields)
