@@ -4,9 +4,10 @@ A document is cut greedily into pieces of harmonic lengths capacity // k, larges
 reciprocal-capacity class exactly: k pieces of a class fill one sequence. (Cut so, a document's rest needs two or three
 pieces.) Pieces are dealt to buckets by hash; each bucket fills the bins of each class with a fixed number of pieces
 on its own. What is left of the classes in a bucket, less than one bin each, is laid end to end and cut at the sequence
-ends, so one sequence of a bucket is partly filled. Buckets hold about ``bucket_tokens`` tokens.
+ends, so one sequence of a bucket is partly filled. Buckets hold about ``bucket_tokens`` tokens, so many that the bins of
+classes hold nearly all of them.
 
-Defined cases: a null or empty text is one id, the end of document. Repeated rows are packed each. Very long texts
+Defined cases: a null or empty text is one id, the end of document. Repeated rows are packed each, and dealt to all buckets. Very long texts
 give full sequences, dealt to all buckets. An empty table gives an empty result. Other columns are
 ignored.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -28,7 +30,7 @@ from .common import plain, rows, utf8
 CAPACITY = 2048
 #: Words whose ids a Python worker remembers.
 MEMO = 1_000_000
-#: Punctuation that is a token run of its own behind a letter or digit.
+#: Punctuation that is a token run of its own behind an ASCII letter or digit, or another letter that stays one letter.
 _TAIL = b"!.,;:?*$%&#|>"
 _encoders: dict = {}
 
@@ -68,7 +70,7 @@ class WordIds:
             for i in missing:
                 word = words[i]
                 stem = word.rstrip(_TAIL)
-                if stem and len(stem) < len(word) and plain_case and (stem[-1:].isalnum() or stem.decode("utf-8", "replace")[-1].isalpha()):
+                if stem and len(stem) < len(word) and plain_case and (stem[-1:].isalnum() or _one_letter(stem.decode("utf-8", "replace")[-1])):
                     tail = word[len(stem) :]
                     known = stem in memo
                     if not known:
@@ -98,6 +100,13 @@ class WordIds:
         return b"".join(got)
 
 
+def _one_letter(c: str) -> bool:
+    """Whether a letter is one letter in lower case and composed form too. Another ends in a mark, which the tokenizer
+    takes together with punctuation behind it."""
+    shown = unicodedata.normalize("NFC", c.lower())
+    return c.isalpha() and len(shown) == 1 and shown.isalpha()
+
+
 def word_ids(path: str) -> Callable[[bytes], bytes]:
     """The worker's encoder for a vocabulary file, built once."""
     if path not in _encoders:
@@ -151,7 +160,7 @@ def tokenised(docs: DataFrame, path: str, end: int = 1, capacity: int = CAPACITY
     return source.mapInArrow(_pieces(path, end, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
-def bucket_count(docs: DataFrame, bucket_tokens: int = 1 << 18, chars_a_token: float = 2.7) -> int:
+def bucket_count(docs: DataFrame, bucket_tokens: int = 1 << 21, chars_a_token: float = 2.7) -> int:
     """Buckets for about ``bucket_tokens`` tokens each, judged by the characters of all texts."""
     chars = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     return max(1, round(chars / chars_a_token / bucket_tokens))
@@ -164,9 +173,10 @@ def pack(pieces: DataFrame, buckets: int, capacity: int = CAPACITY) -> DataFrame
     sequences are unique, not consecutive: bucket, class and bin. A sequence that one document fills is a bin of
     class 1.
     """
-    place = ["doc_id", "start", "ids_crc32"]
+    place = ["doc_id", "start", "ids_crc32", "row"]
     by_class = Window.partitionBy("bucket", "length")
-    part = pieces.withColumn("bucket", F.pmod(F.xxhash64(*place), F.lit(buckets))).repartition("bucket")
+    # equal rows differ in where they were read
+    part = pieces.withColumn("row", F.monotonically_increasing_id()).withColumn("bucket", F.pmod(F.xxhash64(*place), F.lit(buckets))).repartition("bucket")
     part = part.withColumn("k", F.floor(F.lit(capacity) / F.col("length")))
     part = part.withColumn("nth", F.row_number().over(by_class.orderBy(*place)) - 1).withColumn("in_class", F.count("*").over(by_class))
     part = part.withColumn("bin", F.floor(F.col("nth") / F.col("k")))
