@@ -5,6 +5,9 @@ across, so the text is cut there for certain, each fragment is encoded on its ow
 used at two places: in front of white space, found for the whole text by one table look-up in numpy, and within a word
 of the split pattern. Fragments are remembered, so frequent ones are encoded once for each Python worker.
 
+Classes of characters are those of the split pattern's library here. Fragments with a character whose class has changed
+since Unicode 3.2, or that was added since, are encoded by the tokenizers library, whose tables may be of another version.
+
 Defined cases: a null or empty text has no ids and decodes to the empty text. Ids that do not form UTF-8 decode to
 replacement characters. Strings of added tokens in a text become their ids, as the library does. Very long fragments
 are merged with a heap. Repeated rows each give a row; other columns are ignored.
@@ -14,8 +17,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +36,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Fragments a Python worker remembers.
 MEMO = 1_000_000
 _NONE = 1 << 62
+_OLD = unicodedata.ucd_3_2_0
 _loaded: dict = {}
 
 
@@ -41,6 +47,12 @@ def shown_bytes() -> list[str]:
     return [chr(b) if b in prints else chr(next(hidden)) for b in range(256)]
 
 
+def settled(c: str) -> bool:
+    """Whether a character has been a letter, a number, a space or none of them in all versions of Unicode since 3.2."""
+    kind, old = unicodedata.category(c), _OLD.category(c)
+    return kind != "Cn" and (kind == old or (kind[0] == old[0] and kind[0] in "LNPS"))
+
+
 class ByteBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -60,6 +72,8 @@ class ByteBPE:
         self.added = {a["content"]: a["id"] for a in spec.get("added_tokens") or []}
         self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.split = regex.compile(PATTERN)
+        self.path, self.library = path, None
+        self.sure: dict[str, bool] = {}
         self.memo: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -127,7 +141,10 @@ class ByteBPE:
         if data.isalpha() or (data[:1] == b" " and data[1:].isalpha()):
             words = [data]
         else:
-            words = [w.encode("utf-8", "surrogatepass") for w in self.split.findall(data.decode("utf-8", "surrogatepass"))]
+            text = data.decode("utf-8", "surrogatepass")
+            if not data.isascii() and not all(self._sure(c) for c in set(text)):
+                return self._by_library(text)
+            words = [w.encode("utf-8", "surrogatepass") for w in self.split.findall(text)]
         for w in words:
             got = known.get(w)
             if got is not None:
@@ -145,6 +162,23 @@ class ByteBPE:
                 out.append(got)
         return out[0] if len(out) == 1 else b"".join(out)
 
+    def _sure(self, c: str) -> bool:
+        got = self.sure.get(c)
+        if got is None:
+            got = self.sure[c] = settled(c)
+        return got
+
+    def _by_library(self, text: str) -> bytes:
+        if self.library is None:
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+            self.library.no_truncation()
+            self.library.no_padding()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}i", *ids)
+
     def _plain(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
         at = self.cuts(np.frombuffer(data, np.uint8)).tolist()
