@@ -5,11 +5,14 @@ its hash and to the arc that slot lies in. Every shard has a capacity in rows, a
 clockwise to the next virtual node whose shard has room. What moves is decided from the number of keys of each arc alone,
 which is bounded by the ring, so the driver sees shards x virtual nodes counts and no rows.
 
+A key is a row's doc_id with the size and checksum of its text, so rows without an id spread over the ring as well. A slot
+with many more rows than others (rows repeated whole) is split into parts, so that no window holds it.
+
 With no slack the capacities add up to the number of rows, so every shard ends exactly full: counts are at most one
 apart, whatever the keys (law ``rows``).
 
-Defined cases: a null text has no bytes and the checksum of the empty text. Null doc_ids share one slot. Repeated rows
-are placed each. An empty table gives an empty result; other columns are ignored.
+Defined cases: a null text has no bytes and the checksum of the empty text. Rows with null doc_id are placed by their text, repeated rows
+each. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,9 +22,11 @@ import hashlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import plain
+from .common import Scratch, plain
 
 SLOTS = 1 << 16
+#: Rows of one part of a slot, at least; above, also a few times the mean of all slots.
+PART = 20_000
 
 
 def ring(shards: int, nodes: int = 64, slots: int = SLOTS) -> list[tuple[int, int]]:
@@ -74,20 +79,25 @@ def shard(docs: DataFrame, shards: int = 8, nodes: int = 64, slack: float = 0.0)
     spans = [(a, lo, hi, 1) for a, lo, hi in arcs] + ([(0, points[-1][0] + 1, SLOTS - 1, 0)] if points[-1][0] < SLOTS - 1 else [])
     slots = table("arc, lo, hi, turn", spans).select("arc", "turn", F.explode(F.sequence("lo", "hi")).alias("ring_slot"))
 
-    source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int").alias("ring_slot")
-    by_slot = source.groupBy(at).agg(F.count("*").alias("n")).join(F.broadcast(slots), "ring_slot")  # SLOTS rows
-    clockwise = Window.partitionBy("arc").orderBy("turn", "ring_slot").rowsBetween(Window.unboundedPreceding, -1)
-    by_slot = by_slot.select("ring_slot", "arc", F.coalesce(F.sum("n").over(clockwise), F.lit(0)).alias("before"), "n")
-    counted = {r["arc"]: r["n"] for r in by_slot.groupBy("arc").agg(F.sum("n").alias("n")).collect()}  # an arc each
+    text = F.coalesce("text", F.lit(""))
+    found = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    found = found.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+    # written, so that every pass sees a row under the same number
+    found = Scratch(spark).write(found.withColumn("ring_slot", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(SLOTS)).cast("int")))
+    by_slot = found.groupBy("ring_slot").agg(F.count("*").alias("n"))  # SLOTS rows
+    part_rows = F.greatest(F.lit(PART), F.ceil(F.sum("n").over(Window.partitionBy()) / SLOTS * 4))
+    hot = by_slot.withColumn("parts", F.ceil(F.col("n") / part_rows)).where("parts > 1").select("ring_slot", "parts")
+    found = found.join(F.broadcast(hot), "ring_slot", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0)).cast("int"))
+    by_part = found.groupBy("ring_slot", "part").agg(F.count("*").alias("n")).join(F.broadcast(slots), "ring_slot")  # at most 2 * SLOTS rows
+    clockwise = Window.partitionBy("arc").orderBy("turn", "ring_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    by_part = by_part.select("ring_slot", "part", "arc", F.coalesce(F.sum("n").over(clockwise), F.lit(0)).alias("before"), "n")
+    counted = {r["arc"]: r["n"] for r in by_part.groupBy("arc").agg(F.sum("n").alias("n")).collect()}  # an arc each
     counts = [counted.get(i, 0) for i in range(len(points))]
     moved = flows(counts, [s for _, s in points], capacities(sum(counts), shards, slack))
     moved = table("arc, shard, first, last, place", moved or [(-1, 0, 0, 0, 0)])
 
-    text = F.coalesce("text", F.lit(""))
-    rows = source.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), at)
-    nth = Window.partitionBy("ring_slot").orderBy(F.xxhash64("doc_id"), "doc_id", "size", "text_crc32")
-    rows = rows.withColumn("nth", F.row_number().over(nth) - 1).join(F.broadcast(by_slot.drop("n")), "ring_slot")
+    nth = Window.partitionBy("ring_slot", "part").orderBy(F.xxhash64("doc_id"), "doc_id", "size", "text_crc32", "row")
+    rows = found.withColumn("nth", F.row_number().over(nth) - 1).join(F.broadcast(by_part.drop("n")), ["ring_slot", "part"])
     rows = rows.withColumn("rank", F.col("before") + F.col("nth"))
     rows = rows.join(F.broadcast(moved), (rows["arc"] == moved["arc"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
     return rows.select(
