@@ -2,11 +2,13 @@
 
 Every five-word shingle hash below a fixed fraction of the hash range is retained. Sketches of any two texts, or of
 unions of texts, compare without regard to their lengths: the same shingle is kept in all or in none. The printed form
-is ``<key>:<shingles>:<retained hashes>``, all in hex; the key of the whole shingle set tells equal sets apart from
-sets whose sketches happen to be equal or empty.
+is ``<fraction>:<key>:<shingles>:<retained hashes>``, all in hex; the key of the whole shingle set tells equal sets apart
+from sets whose sketches happen to be equal or empty. The key of a union is that of the keys of its different parts, so
+unions of the same texts are alike in any order. Sketches of two fractions are compared at the smaller one.
 
 Defined cases: a null or empty text has no shingle; two such are alike (1). Texts with fewer than five words are one
-shingle. Rows go in descending doc_id, then by text; null doc_ids come last. A single row is its own next one. An
+shingle. Rows go in descending doc_id, then by the text's hash; null doc_ids come last. A single row is its own next one.
+Rows that repeat doc_id and text follow one another. An
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -15,13 +17,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import xor
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, plain, rows, set_key, shingle_set, utf8
+from .common import plain, rows, set_key, shingle_set, utf8
 
 FRACTION = 4
 #: Ranges of ids at most: a bound on the heads every task is given.
@@ -33,41 +37,55 @@ class Sketch:
     key: int
     n: int
     kept: np.ndarray
+    fraction: int = FRACTION
+    #: keys of the texts a union was made of; their xor is its key
+    parts: frozenset[int] = frozenset()
 
     @classmethod
     def of(cls, text: str | None, fraction: int = FRACTION) -> Sketch:
         t = shingle_set(utf8(text).lower())
-        return cls(set_key(t) & ((1 << 64) - 1), len(t), t[t < np.uint64((1 << 64) // fraction)])
+        key = set_key(t) & ((1 << 64) - 1)
+        return cls(key, len(t), t[t < np.uint64((1 << 64) // fraction)], fraction, frozenset([key]))
 
     def __str__(self) -> str:
-        return f"{self.key:016x}:{self.n:x}:{self.kept.astype('>u8').tobytes().hex()}"
+        return f"{self.fraction:x}:{self.key:016x}:{self.n:x}:{self.kept.astype('>u8').tobytes().hex()}"
 
     @classmethod
     def parse(cls, printed: str) -> Sketch:
-        key, n, kept = printed.split(":")
-        return cls(int(key, 16), int(n, 16), np.frombuffer(bytes.fromhex(kept), ">u8").astype(np.uint64))
+        fraction, key, n, kept = printed.split(":")
+        return cls(int(key, 16), int(n, 16), np.frombuffer(bytes.fromhex(kept), ">u8").astype(np.uint64), int(fraction, 16), frozenset([int(key, 16)]))
 
-    def union(self, other: Sketch) -> Sketch:
-        """The sketch of both texts' shingles; its own count is an estimate."""
-        kept = np.union1d(self.kept, other.kept)
-        return Sketch(set_key(kept) & ((1 << 64) - 1), max(self.n, other.n, len(kept) * FRACTION), kept)
+    def _at(self, fraction: int) -> np.ndarray:
+        return self.kept if fraction == self.fraction else self.kept[self.kept < np.uint64((1 << 64) // fraction)]
 
-    def _shared(self, other: Sketch) -> int:
-        return len(np.intersect1d(self.kept, other.kept, assume_unique=True))
+    def union(self, other: Sketch) -> Sketch:
+        """The sketch of both texts' shingles. Its count is an estimate, except where one text's shingles are the other's."""
+        if self.key == other.key:
+            return self
+        fraction = max(self.fraction, other.fraction)
+        kept, parts = np.union1d(self._at(fraction), other._at(fraction)), self.parts | other.parts
+        key = next(iter(parts)) if len(parts) == 1 else reduce(xor, parts)
+        return Sketch(key, max(self.n, other.n, len(kept) * fraction), kept, fraction, parts)
+
+    def _shared(self, other: Sketch) -> tuple[int, int, int]:
+        """Retained hashes of both, of this and of the other one, at one fraction."""
+        fraction = max(self.fraction, other.fraction)
+        a, b = self._at(fraction), other._at(fraction)
+        return len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b)
 
     def likeness(self, other: Sketch) -> float:
         """Estimate of the Jaccard similarity of the shingle sets."""
-        if (self.key, self.n) == (other.key, other.n):
+        if self.key == other.key:
             return 1.0
-        shared = self._shared(other)
-        total = len(self.kept) + len(other.kept) - shared
-        return shared / total if total else 0.0
+        shared, a, b = self._shared(other)
+        return shared / (a + b - shared) if a + b else 0.0
 
     def contained(self, other: Sketch) -> float:
         """Estimate of the share of this text's shingles that the other has too."""
-        if (self.key, self.n) == (other.key, other.n):
+        if self.key == other.key:
             return 1.0
-        return self._shared(other) / len(self.kept) if len(self.kept) else 0.0
+        shared, a, _ = self._shared(other)
+        return shared / a if a else 0.0
 
 
 def sketches(docs: DataFrame, fraction: int = FRACTION) -> DataFrame:
@@ -82,34 +100,40 @@ def sketches(docs: DataFrame, fraction: int = FRACTION) -> DataFrame:
 
 
 def _with_neighbours(docs: DataFrame, rows_a_range: int = 5_000) -> DataFrame:
-    """Rows (place, role, doc_id, text): ranges of ids, each followed by the first row of the next range (role 1).
+    """Rows (place, role, doc_id, text): ranges of (id, text hash), each followed by the first row of the next range (role 1).
 
-    Only ids are sorted to find the ranges; texts move once.
+    Only ids and hashes are sorted to find the ranges, so rows without an id spread too; texts move once.
     """
     source = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    order = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    ids = source.select(order.alias("at")).distinct()
+    source = source.select(F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")).alias("at"), F.xxhash64("text").alias("th"), "doc_id", "text")
+    ids = source.select("at", "th").distinct()
     n = min(RANGES, source.count() // rows_a_range + 1)
-    ranged = ids.repartitionByRange(n, F.desc("at")).select("at", F.spark_partition_id().alias("place"))
-    heads = [r["head"] for r in ranged.groupBy("place").agg(F.max("at").alias("head")).orderBy(F.desc("head")).collect()]  # one for each range
-    ascending = np.array(heads[::-1], np.int64)
+    order = [F.desc("at"), F.desc("th")]
+    ranged = ids.repartitionByRange(n, *order).select("at", "th", F.spark_partition_id().alias("place"))
+    heads = ranged.groupBy("place").agg(F.max(F.struct("at", "th")).alias("head")).collect()  # one for each range
+    ascending = sorted((r["head"]["at"], r["head"]["th"]) for r in heads)
+    low, below = (np.array(x, np.int64) for x in zip(*ascending, strict=True)) if ascending else (np.empty(0, np.int64),) * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy()
-            # place 0 has the largest ids: the range of the least head not below the id
-            up = np.searchsorted(ascending, at, side="left")
-            place = len(ascending) - 1 - up
-            head = np.flatnonzero(ascending[np.minimum(up, len(ascending) - 1)] == at)
+            at, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            # place 0 has the largest: the range of the least head not below (at, th), among heads of the same id by hash
+            first, last = np.searchsorted(low, at, side="left"), np.searchsorted(low, at, side="right")
+            up = first.copy()
+            for i in np.flatnonzero(last > first):
+                up[i] += np.searchsorted(below[first[i] : last[i]], th[i], side="left")
+            place = len(low) - 1 - up
+            near = np.minimum(up, len(low) - 1)
+            head = np.flatnonzero((low[near] == at) & (below[near] == th))
             pick = pa.array(np.concatenate([np.arange(len(at)), head]))
             role = np.concatenate([np.zeros(len(at), np.int32), np.ones(len(head), np.int32)])
-            before = (place[head] - 1) % len(ascending)
+            before = (place[head] - 1) % len(low)
             yield pa.RecordBatch.from_pydict(
-                {"place": pa.array(np.concatenate([place, before]).astype(np.int32)), "role": pa.array(role), "at": batch.column(0).take(pick), "doc_id": batch.column(1).take(pick), "text": batch.column(2).take(pick)}
+                {"place": pa.array(np.concatenate([place, before]).astype(np.int32)), "role": pa.array(role)} | {n: batch.column(i).take(pick) for i, n in enumerate(("at", "th", "doc_id", "text"))}
             )
 
-    placed = source.select(order.alias("at"), "doc_id", "text").mapInArrow(run, "place int, role int, at long, doc_id long, text string")
-    return placed.repartition("place").sortWithinPartitions("place", "role", F.desc("at"), "text")
+    placed = source.mapInArrow(run, "place int, role int, at long, th long, doc_id long, text string")
+    return placed.repartition("place").sortWithinPartitions("place", "role", *order)
 
 
 def edited(text: str, following: str) -> str:
