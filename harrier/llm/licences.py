@@ -2,12 +2,10 @@
 
 A text is normalised (lower case, everything but letters and digits to one space) with its sentence ends and line breaks
 marked. Known licence sentences are looked up from any mark to any later one: a whole sentence, a line, or a run of lines;
-each place counts once, for the longest. Some notices have a sentence end inside a known sentence. The identifiers of a document, in order, are then matched against licence
-rules, which are sequences of identifiers; longer rules are tried first and take their sentences away from shorter ones.
-A line break inside a known sentence is a space; an empty line ends a sentence.
-
-The SQL knows whole split sentences only: it finds less than the operator where a licence line stands below a line that
-ends no sentence, where a sentence end stands inside a known sentence, and it takes the BSD licence of three clauses for that of two.
+each place counts once, for the longest. Some notices have a sentence end inside a known sentence. Sentences that only name a
+licence ("This file is licensed under the MIT License") follow a small grammar. The identifiers of a document, in
+order, are then matched against licence rules, which are sequences of identifiers; longer rules are tried first and take
+their sentences away from shorter ones. A line break inside a known sentence is a space; an empty line ends a sentence.
 
 Defined cases: a null or empty text has no sentence and no licence. A licence found twice is named once; n_matches counts both.
 Known sentences that complete no rule are listed in ``unmatched``. Repeated rows each give a row; very long texts are
@@ -16,123 +14,178 @@ scanned whole; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import plain
 
-#: Sentences of public licence texts and notices, normalised.
+#: Sentences of public licence texts and notices, normalised. Their notices have a sentence end or an empty
+#: line at "|"; "*" is one to twenty words, the name of a holder.
 SENTENCES = {
-    "apache-ref": "licensed under the apache license version 2 0",
-    "apache-the": 'licensed under the apache license version 2 0 the license',
+    "apache-the": "licensed under the apache license version 2 0 the license",
     "apache-may": "you may not use this file except in compliance with the license",
-    "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
-    "mit-ref": "released under the mit license",
-    "mit-under": "this project is licensed under the mit license",
+    "apache-copy": "you may obtain a copy of the license at | http www apache org licenses license 2 0",
+    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit-as-is": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
-    "gpl3-ref": "this work is licensed under the gnu general public license version 3",
-    "gpl-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "gpl-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation | either version 2 of the license or at your option any later version",
+    "lgpl3-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl21-redistribute": "this library is free software | you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation | either version 2 1 of the license or at your option any later version",
+    "agpl-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty | without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty | without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-received": "you should have received a copy of the gnu general public license along with this program",
-    "ccbync4-ref": "licensed under cc by nc 4 0",
-    "ccby4-ref": "licensed under cc by 4 0",
-    "ccbysa4-ref": "licensed under cc by sa 4 0",
+    "lgpl3-received": "you should have received a copy of the gnu lesser general public license along with this program",
+    "lgpl-received": "you should have received a copy of the gnu lesser general public license along with this library",
+    "agpl-received": "you should have received a copy of the gnu affero general public license along with this program",
+    "mpl-form": "this source code form is subject to the terms of the mozilla public license v | 2 0",
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "unlicense-free": "this is free and unencumbered software released into the public domain",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-name": "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
 }
+#: How prose names a licence, as in "this work is licensed under ..", by the identifier of such a sentence.
+NAMES = {
+    "apache-ref": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license"],
+    "mit-ref": ["mit license"],
+    "isc-ref": ["isc license"],
+    "bsd2-ref": ["bsd 2 clause license", "simplified bsd license"],
+    "bsd3-ref": ["bsd 3 clause license", "new bsd license"],
+    "mpl-ref": ["mozilla public license 2 0", "mozilla public license version 2 0"],
+    "gpl2-ref": ["gnu general public license version 2", "gnu general public license v2 0"],
+    "gpl3-ref": ["gnu general public license version 3", "gnu general public license v3 0"],
+    "lgpl3-ref": ["gnu lesser general public license version 3", "gnu lesser general public license v3 0"],
+    "agpl3-ref": ["gnu affero general public license version 3", "gnu affero general public license v3 0"],
+    "ccbync4-ref": ["cc by nc 4 0"],
+    "ccbysa4-ref": ["cc by sa 4 0"],
+    "ccby4-ref": ["cc by 4 0"],
+    "cc0-ref": ["cc0 1 0"],
+}
+#: Licences as their identifier line names them.
+SPDX = ["MIT", "Apache-2.0", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"]
+SENTENCES |= {f"spdx-{x}": f"spdx license identifier | {x.lower().replace('-', ' ').replace('.', ' ')}" for x in SPDX}
 #: Licence and its sentences, in order.
 RULES = [
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]),
     ("Apache-2.0", ["apache-the", "apache-may", "apache-copy"]),
     ("GPL-3.0-or-later", ["gpl-redistribute", "gpl-hope", "gpl-received"]),
+    ("GPL-2.0-or-later", ["gpl2-redistribute", "gpl-hope", "gpl-received"]),
+    ("LGPL-3.0-or-later", ["lgpl3-redistribute", "gpl-hope", "lgpl3-received"]),
+    ("LGPL-2.1-or-later", ["lgpl21-redistribute", "lgpl-hope", "lgpl-received"]),
+    ("AGPL-3.0-or-later", ["agpl-redistribute", "gpl-hope", "agpl-received"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
     ("MIT", ["mit-notice", "mit-as-is"]),
-    ("Apache-2.0", ["apache-ref"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
+    ("MPL-2.0", ["mpl-form", "mpl-copy"]),
+    ("Unlicense", ["unlicense-free"]),
     ("Apache-2.0", ["apache-the"]),
+    ("Apache-2.0", ["apache-ref"]),
     ("MIT", ["mit-ref"]),
-    ("MIT", ["mit-under"]),
+    ("ISC", ["isc-ref"]),
+    ("BSD-2-Clause", ["bsd2-ref"]),
+    ("BSD-3-Clause", ["bsd3-ref"]),
+    ("MPL-2.0", ["mpl-ref"]),
+    ("GPL-2.0-only", ["gpl2-ref"]),
     ("GPL-3.0-only", ["gpl3-ref"]),
+    ("LGPL-3.0-only", ["lgpl3-ref"]),
+    ("AGPL-3.0-only", ["agpl3-ref"]),
     ("CC-BY-NC-4.0", ["ccbync4-ref"]),
     ("CC-BY-4.0", ["ccby4-ref"]),
     ("CC-BY-SA-4.0", ["ccbysa4-ref"]),
+    ("CC0-1.0", ["cc0-ref"]),
+    *[(x, [f"spdx-{x}"]) for x in SPDX],
 ]
-#: Sentences as the operator knows them, where they differ from the SQL's. Their notices have a sentence end or an
-#: empty line at "|"; "*" is one to twenty words, the name of a holder.
-NOTICES = SENTENCES | {
-    "apache-copy": "you may obtain a copy of the license at | http www apache org licenses license 2 0",
-    "gpl-redistribute": "this program is free software | you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty | without even the implied warranty of merchantability or fitness for a particular purpose",
-    "bsd-name": "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-}
-#: The operator's rules, one ahead of the SQL's.
-NOTICE_RULES = [("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]), *RULES]
 #: Sentence ends; as the pattern is also DuckDB's, it looks neither ahead nor back.
 ENDS = r"[.!?;:]+[ \t\r\n]+|[.!?;:]+$|\n[ \t\r]*\n"
+#: A sentence that names a licence, up to the name.
+_UNDER = "(?:(?:this|the) [a-z]+ is )?(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of the )?"
+_HOLDER = ("neither the name of ", " nor the names of its ")
+
 
+def _places(line: str, end: str) -> str:
+    """A known sentence, the longest first; its words may stand on several lines. ``line`` and ``end``: what may lie between words."""
 
-def _places() -> str:
-    """A known sentence between two marks, the longest first; its words may stand on several lines."""
-    texts = sorted(NOTICES.values(), key=len, reverse=True)
-    texts = [x.replace(" | ", "~").replace(" ", " (?:L )*+").replace("~", " (?:[SL] )*+").replace("*+*", "*+[a-z0-9]+(?: (?:L )*+[a-z0-9]+){0,19}?") for x in texts]
-    return "(?<= [SL] )(?:" + "|".join(texts) + ")(?= [SL] )"
+    def words(x: str) -> str:
+        return x.replace("*", "@").replace(" | ", "~").replace(" ", f" {line}").replace("~", f" {end}").replace("@", f"[a-z0-9]+(?: {line}[a-z0-9]+){{0,19}}?")
+
+    known = [words(x) for x in sorted(SENTENCES.values(), key=len, reverse=True)]
+    named = "|".join(words(n) for n in sorted((n for names in NAMES.values() for n in names), key=len, reverse=True))
+    # the grammar's own spaces, as words of a run of lines too
+    return "(?:" + "|".join(known) + "|" + _UNDER.replace(" ", f" {line}") + f"(?:{named}))"
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_sentences, sentence_ids, licences, n_matches, unmatched; lists joined by commas."""
-    known = F.create_map(*[F.lit(x) for k, v in NOTICES.items() for x in (v.replace(" | ", " "), k)])
+    known = F.create_map(*[F.lit(x) for k, v in SENTENCES.items() for x in (v.replace(" | ", " "), k)])
+    named = F.create_map(*[F.lit(x) for k, names in NAMES.items() for n in names for x in (n, k)])
     d = plain(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     d = d.withColumn("sentences", F.filter(F.split(F.coalesce("text", F.lit("")), ENDS), lambda s: F.length(F.trim(s)) > 0))
     # lower case leaves S and L free as marks of sentence ends and line breaks
     marked = F.regexp_replace(F.regexp_replace(F.lower("text"), ENDS, " S "), r"[\r\n]+", " L ")
     marked = F.regexp_replace(F.concat(F.lit(" S "), marked, F.lit(" S ")), "[^a-z0-9SL]+", " ")
-    places = F.regexp_extract_all(marked, F.lit(_places()), F.lit(0))
-    plainly = lambda x: F.regexp_replace(F.regexp_replace(x, " [SL](?= )", ""), "(?<=^neither the name of ).*(?= nor the names of its )", "*")
-    ids = F.transform(places, lambda x: F.try_element_at(known, plainly(x)))
+    places = F.regexp_extract_all(marked, F.lit(f"(?<= [SL] ){_places('(?:L )*+', '(?:[SL] )*+')}(?= [SL] )"), F.lit(0))
+
+    def name(place: Column) -> Column:
+        plainly = F.regexp_replace(F.regexp_replace(place, " [SL](?= )", ""), f"(?<=^{_HOLDER[0]}).*(?={_HOLDER[1]})", "*")
+        return F.coalesce(F.try_element_at(known, plainly), F.try_element_at(named, F.regexp_replace(plainly, f"^{_UNDER}", "")))
+
     # only texts with one of the words every known sentence has are normalised
-    ids = F.when(F.rlike("text", F.lit(HINT)), ids).otherwise(F.array().cast("array<string>"))
+    ids = F.when(F.rlike("text", F.lit(HINT)), F.transform(places, name)).otherwise(F.array().cast("array<string>"))
     d = d.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), ids.alias("ids"))
-    found = F.concat(F.array_join("ids", ";"), F.lit(";"))
-    for licence, rule in NOTICE_RULES:
-        # identifiers are lower case, so a licence in brackets is no part of a later rule
-        found = F.replace(found, F.lit(";".join(rule) + ";"), F.lit(f"[{licence}];"))
-    d = d.withColumn("found", F.filter(F.split(found, ";"), lambda x: x != ""))
-    names = F.transform(F.filter("found", lambda x: x.startswith("[")), lambda x: F.replace(F.replace(x, F.lit("["), F.lit("")), F.lit("]"), F.lit("")))
-    return d.withColumn("names", names).select(
+    # identifiers stand in angles and licences in brackets, so neither is part of another nor of a later rule
+    found = F.array_join(F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), "")
+    for licence, rule in RULES:
+        found = F.replace(found, F.lit("".join(f"<{x}>" for x in rule)), F.lit(f"[{licence}]"))
+    d = d.withColumn("found", found)
+    d = d.withColumn("names", F.regexp_extract_all("found", F.lit(r"\[([^\]]*)\]"), F.lit(1)))
+    return d.select(
         "doc_id",
         "n_sentences",
         F.array_join("ids", ",").alias("sentence_ids"),
         F.array_join(F.array_sort(F.array_distinct("names")), ",").alias("licences"),
         F.size("names").cast("long").alias("n_matches"),
-        F.array_join(F.filter("found", lambda x: ~x.startswith("[")), ",").alias("unmatched"),
+        F.array_join(F.regexp_extract_all("found", F.lit("<([^>]*)>"), F.lit(1)), ",").alias("unmatched"),
     )
 
 
 #: Every known sentence has one of these words.
-HINT = "(?i)licen|copyright|software|redistribut|permitted|program"
+HINT = "(?i)licen|copyright|software|redistribut|permitted|program|under|mpl"
 
 
 def _oracle() -> str:
+    """The same rules in DuckDB, whose patterns cannot look around: every mark is doubled, and a place takes one on each side."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    case = " ".join(f"WHEN {quote(v)} THEN {quote(k)}" for k, v in SENTENCES.items())
-    found = "array_to_string(ids, ';') || ';'"
+    case = " ".join(f"WHEN {quote(v.replace(' | ', ' '))} THEN {quote(k)}" for k, v in SENTENCES.items())
+    case += " " + " ".join(f"WHEN {quote('under ' + n)} THEN {quote(k)}" for k, names in NAMES.items() for n in names)
+    found = "array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '')"
     for licence, rule in RULES:
-        found = f"replace({found}, {quote(';'.join(rule) + ';')}, {quote(f'[{licence}];')})"
-    return f"""
-WITH s AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{ENDS}'), lambda x: length(trim(x, ' ')) > 0) AS sentences FROM documents
+        found = f"replace({found}, {quote(''.join(f'<{x}>' for x in rule))}, {quote(f'[{licence}]')})"
+    return rf"""
+WITH m AS (
+  SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{ENDS}'), lambda x: length(trim(x, ' ')) > 0)) AS n_sentences,
+    regexp_replace(regexp_replace(' S ' || regexp_replace(regexp_replace(lower(coalesce(text, '')), '{ENDS}', ' S ', 'g'), '[\r\n]+', ' L ', 'g') || ' S ',
+      '[^a-z0-9SL]+', ' ', 'g'), '([SL]) ', '\1 \1 ', 'g') AS marked
+  FROM documents
+), p AS (
+  SELECT doc_id, n_sentences, list_transform(regexp_extract_all(marked, '[SL] ({_places('(?:L )*', '(?:[SL] )*')}) [SL]', 1),
+    lambda x: regexp_replace(regexp_replace(regexp_replace(x, '( [SL])+ ', ' ', 'g'), '^{_HOLDER[0]}.*{_HOLDER[1]}', '{_HOLDER[0]}*{_HOLDER[1]}'), '^{_UNDER}', 'under ')) AS places
+  FROM m
 ), i AS (
-  SELECT doc_id, len(sentences) AS n_sentences,
-    list_filter(list_transform(sentences, lambda x: CASE trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g')) {case} END), lambda x: x IS NOT NULL) AS ids
-  FROM s
+  SELECT doc_id, n_sentences, list_transform(places, lambda x: CASE x {case} WHEN 'under apache license version 2 0 the license' THEN 'apache-the' END) AS ids FROM p
 ), f AS (
-  SELECT *, list_filter(string_split({found}, ';'), lambda x: x <> '') AS found FROM i
+  SELECT *, {found} AS found FROM i
 ), n AS (
-  SELECT *, list_transform(list_filter(found, lambda x: starts_with(x, '[')), lambda x: replace(replace(x, '[', ''), ']', '')) AS names FROM f
+  SELECT *, regexp_extract_all(found, '\[([^\]]*)\]', 1) AS names FROM f
 )
 SELECT doc_id, CAST(n_sentences AS BIGINT) AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
   array_to_string(list_sort(list_distinct(names)), ',') AS licences, CAST(len(names) AS BIGINT) AS n_matches,
-  array_to_string(list_filter(found, lambda x: NOT starts_with(x, '[')), ',') AS unmatched
+  array_to_string(regexp_extract_all(found, '<([^>]*)>', 1), ',') AS unmatched
 FROM n
 """
 
