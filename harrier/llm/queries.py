@@ -82,8 +82,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    import corpus_pipeline
-
     found = [
         op1_language_id,
         op2_chat_formatting,
@@ -96,7 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_fingerprints,
         op10_quality_rules,
     ]
-    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
