@@ -246,6 +246,34 @@ def _with_texts(wanted: DataFrame, source: DataFrame) -> DataFrame:
     return wanted.join(some, "held")
 
 
+def _open_lists(mixed: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """The rows of lists (token, hot, node, comp, ..) that hold more than one component, and aggregates over each list.
+
+    A window moves each row once; the long lists of hot tokens are combined before the shuffle and joined instead, which
+    may be split.
+    """
+    some = {"lo": F.min("comp"), "hi": F.max("comp")} | (more or {})
+    by_token = Window.partitionBy("token")
+    cold = mixed.where("not hot").withColumns({n: c.over(by_token) for n, c in some.items()})
+    hot = mixed.where("hot")
+    hot = hot.join(hot.groupBy("token").agg(*[c.alias(n) for n, c in some.items()]), "token")
+    return cold.where("lo <> hi").unionByName(hot.where("lo <> hi")).drop("lo", "hi")
+
+
+def _shared(mixed: DataFrame, share: int) -> DataFrame:
+    """(grp, node, n, comp) for each token that a node shares with a group of another component, or of nodes alone: once
+    a pair of components, the smaller one asks. Both sides read one shuffle of the lists by token."""
+    both = _open_lists(mixed)
+    held = both.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"), F.min("node").alias("g_first"), F.max("node").alias("g_last"), F.min("n").alias("g_least"), F.max("n").alias("g_most"))
+    q = both.select("token", "node", "n", "comp", "size", F.col("many").alias("q_many"), F.col("grp").alias("q_grp"))
+    larger = F.col("many") & (F.col("g_comp") != F.col("comp")) & (F.struct("g_size", "g_comp") > F.struct("size", "comp"))
+    alone = ~F.col("many") & ~F.col("q_many") & (F.col("q_grp") <= F.col("grp"))
+    # a holder other than the node itself, of a size that can link
+    other = (F.col("g_first") != F.col("node")) | (F.col("g_last") != F.col("node"))
+    fits = (F.col("g_most") * 100 >= F.col("n") * share) & (F.col("g_least") * share <= F.col("n") * 100)
+    return q.join(held, "token").where((larger | alone) & other & fits).select("grp", "node", "n", "comp")
+
+
 def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> DataFrame:
     """Per document: doc_id, key (of its doc_id and text), n_shingles, label (of its component) and component_id.
     Documents link at 100 * intersection >= share * union."""
@@ -271,20 +299,20 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
         .select("token", "salt", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
         .dropDuplicates(["token", "salt", "node"])
     )
-    lists = scratch.write(lists.drop("salt"))
+    lists = scratch.write(lists.withColumn("hot", F.col("salt") > 0).drop("salt"))
     # nodes that share a token, each with one row's key
     listed = lists.groupBy("node").agg(F.min("leader").alias("leader"))
     firsts = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("key").alias("held"))
     base = scratch.write(firsts.join(listed, "node"))
     links, nodes = None, base.select("node", "n", "held", F.col("node").alias("comp"))
+    mixed = None
     for again in (False, True):
         if not again:
             of = lists.withColumn("comp", F.col("node")).withColumn("leader_comp", F.col("leader"))
         else:
-            # lists that hold one component have nothing left to compare
-            lead = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("size", "comp", "node", "n")).alias("lead"))
-            lead = lead.where("lo <> hi").select("token", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("leader_comp"), F.col("lead.n").alias("leader_n"))
-            before, lists = lists, scratch.write(mixed.join(lead, "token").select("token", "node", "n", "comp", "leader", "leader_comp", "leader_n"))
+            lead = F.max(F.struct("size", "comp", "node", "n"))
+            mixed = _open_lists(mixed, {"lead": lead}).select("token", "hot", "node", "n", "comp", F.col("lead.node").alias("leader"), F.col("lead.comp").alias("leader_comp"), F.col("lead.n").alias("leader_n"))
+            before, lists = lists, scratch.write(mixed)
             scratch.empty(before)
             of = lists
         pairs = of.where((F.col("comp") != F.col("leader_comp")) & fits(F.col("n"), F.col("leader_n")))
@@ -304,33 +332,24 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
         nodes = nodes.join(sizes, "comp").withColumn("many", F.col("size") > 1).withColumn("near", F.when(F.col("many"), F.col("comp")).otherwise(F.col("leader")))
         nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", "near"))
         scratch.empty(labels)
-        mixed = lists.select("token", "node").join(nodes.select("node", "n", "comp", "size"), "node")
+        mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size"), "node")
     # members of like sizes, so that the bound of a group is close to its members' own
     nodes = nodes.withColumn("scale", F.floor(F.log("n") * 12))
     kinds = ["near", "many", "scale"]
     blocks = nodes.groupBy(*kinds).agg(F.ceil(F.count("*") / block).alias("blocks"))
     nodes = nodes.join(blocks, kinds)
-    nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", "scale", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
+    nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
 
-    mixed = lists.select("token", "node").join(nodes.drop("held"), "node")
-    open_lists = mixed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    mixed = scratch.write(mixed.join(open_lists, "token"))
-    scratch.empty(lists)
-    held = mixed.groupBy("token", "grp", "many").agg(F.min("size").alias("g_size"), F.min("comp").alias("g_comp"), F.first("scale").alias("g_scale"))
     ranges = nodes.groupBy("grp").agg(F.min("n").alias("g_min"), F.max("n").alias("g_max"))
-    q = mixed.select("token", "node", "n", "comp", "size", "scale", F.col("many").alias("q_many"), F.col("grp").alias("q_grp"))
-    larger = F.col("many") & (F.col("g_comp") != F.col("comp")) & (F.struct("g_size", "g_comp") > F.struct("size", "comp"))
-    alone = ~F.col("many") & ~F.col("q_many") & (F.col("q_grp") <= F.col("grp"))
-    # sizes that can link lie at most so many scales apart
-    apart = int(12 * np.log(100 / share)) + 1
-    shared = q.join(held, "token").where((larger | alone) & (F.abs(F.col("scale") - F.col("g_scale")) <= apart))
+    mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size", "many", "grp"), "node")
+    shared = _shared(mixed.where("not hot"), share).union(_shared(mixed.where("hot"), share))
     shared = shared.groupBy("grp", "node").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("comp").alias("comp")).join(ranges, "grp")
     # sizes of members that can link with the query, and the least shared prefix that leaves room for a link
     low = F.greatest(F.col("g_min"), F.ceil(F.col("n") * share / 100))
     high = F.least(F.col("g_max"), F.floor(F.col("n") * 100 / share))
     queries = shared.where((low <= high) & (F.col("c") >= _least_need(F.col("n"), low, high, share))).select("grp", "node", "comp")
     queries = scratch.write(queries.join(nodes.select("node", "held"), "node"))
-    scratch.empty(mixed)
+    scratch.empty(lists)
     members = nodes.select("grp", "node", "comp", "held").join(queries.select("grp").distinct(), "grp", "left_semi")
     links = links.union(_links(members, queries, source, scratch, k, share))
     scratch.empty(queries)
