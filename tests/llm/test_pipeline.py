@@ -65,3 +65,9 @@ def test_substring(steps):
 def test_packing(steps):
     before, after = steps["packing"]
     assert packed_right(after.collect(), pairs(before)) > 0.95
+
+
+def test_empty(spark, sf_dir, tmp_path):
+    for t in ("documents", "labels"):
+        queries.table(spark, sf_dir, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
