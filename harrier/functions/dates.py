@@ -1,4 +1,8 @@
-"""All dates written in a text, and those that stand in a sentence about a deadline, as Column expressions."""
+"""Dates written in a text, and those that stand in a sentence about a deadline, as Column expressions.
+
+A written date is a row of parts: Y a year, M a month's number, D a day, N a month's name. ``FORMS`` lists the orders of
+parts with what stands between them; the patterns are made from them.
+"""
 
 from __future__ import annotations
 
@@ -7,39 +11,59 @@ from pyspark.sql import functions as F
 
 from .text import MONTHS, folded
 
-_MONTH = "|".join(dict.fromkeys(w for names in MONTHS.values() for w in names.split()))
-_ISO = r"(\d{4})-(\d{1,2})-(\d{1,2})"
-_NUMBERS = r"(\d{1,2})[./](\d{1,2})[./](\d{4})"
-_DAY_FIRST = rf"(\d{{1,2}})(?:er|st|nd|rd|th|\.)? (?:de |of )?({_MONTH})\.? (?:de )?(\d{{4}})"
-_MONTH_FIRST = rf"({_MONTH})\.? (\d{{1,2}})(?:st|nd|rd|th)?,? (\d{{4}})"
-_MONTH_ONLY = rf"({_MONTH})\.? (?:de )?(\d{{4}})"
-#: One pass over the text; at each place the fuller form is tried first, so spans never overlap.
-_ANY = rf"(?<![0-9a-z])(?:{_ISO}|{_NUMBERS}|{_DAY_FIRST}|{_MONTH_FIRST}|{_MONTH_ONLY})(?![0-9a-z])"
+_NAMES = {w: n for n, names in MONTHS.items() for w in names.split()}
+_PARTS = {"Y": r"(\d{4})", "M": r"(\d{1,2})", "D": r"(\d{1,2})", "N": "(" + "|".join(_NAMES) + ")"}
+#: What may follow a day's number, a month's name, and stand between parts.
+_ORDINAL, _DOT, _OF = "(?:er|st|nd|rd|th|[.])?", "[.]?", " (?:de |of )?"
+FORMS = [
+    ["Y", "-", "M", "-", "D"],
+    ["D", "[./]", "M", "[./]", "Y"],
+    ["D", _ORDINAL + _OF, "N", _DOT + _OF, "Y"],
+    ["N", _DOT + " ", "D", _ORDINAL + ",? ", "Y"],
+    ["N", _DOT + _OF, "Y"],
+]
 #: Words of an obligation, of an occasion, and of an obligation that no occasion outweighs.
 OBLIGATION = r"\b(deadline|must|shall|due|comply|applies from|no later than|au plus tard|doivent|frist|spatestens)\b"
 OCCASION = r"\b(webinar|conference|workshop|event|consultation|hearing|seminar|colloque|webinaire)\b"
 STRONG = r"\b(must comply|no later than|au plus tard|spatestens|enters into force)\b"
 
 
+def _pattern(form: list[str]) -> str:
+    return "".join(_PARTS.get(x, x) for x in form)
+
+
+#: One pass over the text; at each place the fuller form is tried first, so spans never overlap.
+_ANY = "(?<![0-9a-z])(?:" + "|".join(map(_pattern, FORMS)) + ")(?![0-9a-z])"
+
+
+def _day(span: Column, form: list[str]) -> Column:
+    """The day a span of this form names, the first of the month where no day is written; null if there is none such."""
+    parts = [x for x in form if x in _PARTS]
+    part = {x: F.regexp_extract(span, f"^{_pattern(form)}$", i) for i, x in enumerate(parts, 1)}
+    month = part["M"] if "M" in part else F.try_element_at(F.create_map(*[F.lit(x) for pair in _NAMES.items() for x in pair]), part["N"]).cast("string")
+    return F.try_to_date(F.concat_ws("-", part["Y"], F.lpad(month, 2, "0"), F.lpad(part.get("D", F.lit("1")), 2, "0")), "yyyy-MM-dd")
+
+
 def all_dates(c: Column) -> Column:
     """Array of (day, approx) in the text's order; approx if only the month is written. Impossible days are left out."""
-    months = F.create_map(*[F.lit(x) for n, names in MONTHS.items() for w in dict.fromkeys(names.split()) for x in (w, n)])
 
     def one(span: Column) -> Column:
-        def day(form: str, y: int, m: int | None, d: int | None, named: int | None = None) -> Column:
-            part = lambda i: F.regexp_extract(span, f"^{form}$", i)
-            month = F.try_element_at(months, part(named)).cast("string") if named else part(m)
-            return F.try_to_date(F.concat_ws("-", part(y), F.lpad(month, 2, "0"), F.lpad(part(d), 2, "0") if d else F.lit("01")), "yyyy-MM-dd")
-
-        sure = [(_ISO, 1, 2, 3, None), (_NUMBERS, 3, 2, 1, None), (_DAY_FIRST, 3, None, 1, 2), (_MONTH_FIRST, 3, None, 2, 1)]
-        exact = F.coalesce(*[F.when(F.rlike(span, F.lit(f"^{f}$")), day(f, *at)) for f, *at in sure])
-        loose = F.rlike(span, F.lit(f"^{_MONTH_ONLY}$"))
-        return F.struct(F.when(loose, day(_MONTH_ONLY, 2, None, None, 1)).otherwise(exact).alias("day"), loose.alias("approx"))
+        told = [(F.rlike(span, F.lit(f"^{_pattern(f)}$")), _day(span, f), "D" not in f) for f in FORMS]
+        day = F.coalesce(*[F.when(is_form, day) for is_form, day, _ in told])
+        loose = F.coalesce(*[F.when(is_form, F.lit(rough)) for is_form, _, rough in told])
+        return F.struct(day.alias("day"), loose.alias("approx"))
 
     spans = F.regexp_extract_all(folded(c), F.lit(_ANY), F.lit(0))
     return F.filter(F.transform(spans, one), lambda d: d["day"].isNotNull())
 
 
+def first_date(c: Column, as_of: str) -> Column:
+    """The first full date of the first form that gives one; none before 2000 or after the day behind ``as_of``."""
+    spans = [(F.regexp_extract(folded(c), f"(?<![0-9a-z]){_pattern(f)}(?![0-9a-z])", 0), f) for f in FORMS if "D" in f]
+    found = F.coalesce(*[_day(span, f) for span, f in spans])
+    return F.when((found >= F.lit("2000-01-01").cast("date")) & (found <= F.date_add(F.lit(as_of).cast("date"), 1)), found)
+
+
 def deadlines(c: Column) -> Column:
     """The dates of sentences that speak of an obligation and not of an occasion, unless in strong words."""
     sentences = F.split(folded(c), r"(?<=[.!?;])\s+(?=\S)|\n+")
@@ -48,3 +72,10 @@ def deadlines(c: Column) -> Column:
         lambda s: (F.rlike(s, F.lit(OBLIGATION)) & ~F.rlike(s, F.lit(OCCASION))) | F.rlike(s, F.lit(STRONG)),
     )
     return F.flatten(F.transform(binding, all_dates))
+
+
+def upcoming(days: Column, as_of: str, most: int = 4) -> Column:
+    """Of an array of days the future ones first, then by date, ``most`` at most."""
+    today = F.lit(as_of).cast("date")
+    keyed = F.transform(F.array_distinct(days), lambda d: F.struct((d < today).alias("past"), d.alias("day")))
+    return F.slice(F.transform(F.array_sort(keyed), lambda x: x["day"]), 1, most)

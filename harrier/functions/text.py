@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with marks and the letters they become, for the alphabets of the monitored languages.
-MARKED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-BARE = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+def _bare(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+
+
+#: Letters with marks of the Latin, Greek and Cyrillic alphabets, by the rule that their decomposed form without marks is one
+#: other letter; behind them combining marks, which have no counterpart and so go.
+_LETTERS = [chr(c) for c in [*range(0xC0, 0x250), *range(0x386, 0x3CF), *range(0x400, 0x460), *range(0x1E00, 0x1F00)] if len(_bare(chr(c))) == 1 and _bare(chr(c)) != chr(c)]
+BARE = "".join(map(_bare, _LETTERS))
+MARKED = "".join(_LETTERS) + "".join(map(chr, range(0x300, 0x370)))
 #: Query parameters that only track a visit.
 TRACKING = "^(utm_|xtor|at_)"
 #: Month names by number, without marks.
 MONTHS = {
-    1: "january janvier januar enero gennaio januari",
-    2: "february fevrier februar febrero febbraio februari",
-    3: "march mars marz marzo maart",
-    4: "april avril abril aprile",
-    5: "may mai mayo maggio mei",
-    6: "june juin juni junio giugno",
-    7: "july juillet juli julio luglio",
-    8: "august aout agosto augustus",
-    9: "september septembre septiembre settembre",
-    10: "october octobre oktober octubre ottobre",
-    11: "november novembre noviembre",
-    12: "december decembre dezember diciembre dicembre december",
+    1: "january janvier januar enero gennaio januari janeiro stycznia ledna tammikuuta",
+    2: "february fevrier februar febrero febbraio februari fevereiro lutego unora helmikuuta",
+    3: "march mars marz marzo maart marco marts marca brezna maaliskuuta",
+    4: "april avril abril aprile kwietnia dubna huhtikuuta",
+    5: "may mai mayo maggio mei maio maj maja kvetna toukokuuta",
+    6: "june juin juni junio giugno junho czerwca cervna kesakuuta",
+    7: "july juillet juli julio luglio julho lipca cervence heinakuuta",
+    8: "august aout agosto augustus augusti sierpnia srpna elokuuta",
+    9: "september septembre septiembre settembre setembro wrzesnia zari syyskuuta",
+    10: "october octobre oktober octubre ottobre outubro pazdziernika rijna lokakuuta",
+    11: "november novembre noviembre novembro listopada listopadu marraskuuta",
+    12: "december decembre dezember diciembre dicembre dezembro desember grudnia prosince joulukuuta",
 }
 
 
@@ -36,16 +44,113 @@ def folded(c: Column) -> Column:
     return F.lower(strip_marks(c))
 
 
+#: Named entities and what they stand for; the ampersand comes last, so that a twice written one needs two passes.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&rsquo;": "’", "&laquo;": "«", "&raquo;": "»", "&ndash;": "–", "&hellip;": "…", "&amp;": "&"}
+
+
+def unescape(c: Column) -> Column:
+    for name, to in ENTITIES.items():
+        c = F.replace(c, F.lit(name), F.lit(to))
+    return c
+
+
 def clean(c: Column, longest: int = 400) -> Column:
-    """Tags and common entities out, white space to one space, cut at a word with an ellipsis."""
-    t = F.regexp_replace(c, "<[^>]+>", " ")
-    for name, to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(to))
+    """Entities decoded, twice as feeds write them twice, tags out, white space to one space, cut at a word with an ellipsis."""
+    t = F.regexp_replace(unescape(unescape(c)), "<[^>]+>", " ")
     t = F.trim(F.regexp_replace(t, r"\s+", " "))
     cut = F.regexp_replace(F.substring(t, 1, longest), r"\s+\S*$", "")
     return F.when(F.length(t) > longest, F.concat(cut, F.lit("…"))).otherwise(t)
 
 
+def snippet(c: Column, start: Column, length: int, around: int = 90) -> Column:
+    """What stands around a span (``start`` from 1), in whole words."""
+    first = F.greatest(start - around, F.lit(1))
+    part = F.substring(c, first, start + length + around - first)
+    part = F.when(first > 1, F.regexp_replace(part, r"^\S*\s+", "")).otherwise(part)
+    part = F.when(start + length + around <= F.length(c), F.regexp_replace(part, r"\s+\S*$", "")).otherwise(part)
+    return F.trim(F.regexp_replace(part, r"\s+", " "))
+
+
+#: What stands before a title on link texts, and titles that say nothing.
+LEAD_IN = r"(?i)^(read more( about)?|learn more( about)?|lire la suite|en savoir plus( sur)?|mehr erfahren( zu[mr]?)?|weiterlesen|download|télécharger)\s*[:–—-]?\s*"
+EMPTY_TITLE = r"(?i)^(read more|more|details?|download|pdf|html|link|here|ici|voir|see|view|news|publication|documents?|(le|la|les|the) (report|rapport|document|guide|annexe?s?))\W*$|^[\w. -]+\.(pdf|xlsx?|docx?|csv|zip|xml)$"
+
+
+def clean_title(title: Column, url: Column) -> Column:
+    """A title without catalogue number, file size and lead-in; one that says nothing or is too short gives way to the
+    words of the URL."""
+    t = F.trim(F.regexp_replace(unescape(unescape(title)), r"\s+", " "))
+    t = F.regexp_replace(t, r"^CELEX:\S+:\s*", "")
+    t = F.regexp_replace(t, r"(?i)\s*[(\[]\s*(pdf|xlsx|docx)?\s*[-–,]?\s*[\d.,]+\s*(kb|ko|mb|mo)\s*[)\]]$", "")
+    bare = F.regexp_replace(t, LEAD_IN, "")
+    t = F.when(F.length(bare) >= 12, bare).otherwise(t)
+    return F.when(F.rlike(t, F.lit(EMPTY_TITLE)) | (F.length(t) < 12), F.coalesce(slug_title(url), F.lit(""))).otherwise(t)
+
+
+def shown_amount(euros: Column, lang: str = "en") -> Column:
+    """An amount in short form: €1.5M, €20k, in French 1,5 M€."""
+
+    def number(of: float) -> Column:
+        n = F.regexp_replace(F.round(euros / of, 1).cast("decimal(20,1)").cast("string"), r"\.0$", "")
+        return n if lang == "en" else F.replace(n, F.lit("."), F.lit(","))
+
+    whole = F.round(euros / 1000).cast("long").cast("string")
+    steps = [(1e9, number(1e9), "bn", " Md€"), (1e6, number(1e6), "M", " M€"), (1e3, whole, "k", " k€"), (0, euros.cast("long").cast("string"), "", " €")]
+    say = lambda n, en, fr: F.concat(F.lit("€"), n, F.lit(en)) if lang == "en" else F.concat(n, F.lit(fr))
+    return F.coalesce(*[F.when(euros >= least, say(n, en, fr)) for least, n, en, fr in steps])
+
+
+def unwrap(url: Column) -> Column:
+    """The address behind the protected links of mail filters."""
+    inner = F.nullif(F.regexp_extract(url, r"^https?://urldefense(?:\.proofpoint)?\.com/v3/__(.+?)__;", 1), F.lit(""))
+    inner = F.replace(F.replace(F.replace(inner, F.lit("*21"), F.lit("!")), F.lit("*2A"), F.lit("*")), F.lit("**"), F.lit("*"))
+    second = F.nullif(F.regexp_extract(url, r"^https?://urldefense[^/]*/v2/[^?]*\?(?:.*&)?u=([^&]+)", 1), F.lit(""))
+    safe = F.nullif(F.regexp_extract(url, r"^https?://[^/]*safelinks\.protection\.outlook\.com/[^?]*\?(?:.*&)?(?:url|u|target)=([^&]+)", 1), F.lit(""))
+    return F.coalesce(inner, F.try_url_decode(F.translate(second, "-_", "%/")), F.try_url_decode(safe), F.trim(url))
+
+
+def displayed(original: Column, lang: Column, translated: Column, wanted: str) -> Column:
+    """The translation where there is one and the text is in another language."""
+    return F.when(lang.isNull() | (lang == wanted), original).otherwise(F.coalesce(F.nullif(translated, F.lit("")), original))
+
+
+def reworded(c: Column, rules: list[tuple[str, str]]) -> Column:
+    """A text with all rules applied, in order."""
+    for pattern, to in rules:
+        c = F.regexp_replace(c, pattern, to)
+    return c
+
+
+def _plain_quotes(c: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(F.translate(c, "’‘“”«»\u00a0\u202f\u2009", "''\"\"\"\"   "), r"\s+", " ")))
+
+
+def quoted_in(quote: Column, text: Column, least: int = 25) -> Column:
+    """Whether a quote of ``least`` characters or more stands in a text word for word, but for spaces, quotes and case."""
+    said = F.regexp_replace(_plain_quotes(quote), "^[ .\"']+|[ .\"']+$", "")
+    return (F.length(said) >= least) & F.contains(_plain_quotes(text), said)
+
+
+def before_byline(title: Column) -> Column:
+    """A title up to the signature or reading time that some feeds glue to it."""
+    signed = r"\s(?:[Bb]y|[Pp]ar|[Vv]on|[Aa]v|[Dd]oor|[Pp]or|[Dd]i)\s+\p{Lu}[\p{L}-]+\s+\p{Lu}[\p{L}-]+\s+\d.*$"
+    return F.regexp_replace(F.regexp_replace(title, signed, ""), r"\s\d{1,2} min\b.*$", "")
+
+
+def name_terms(c: Column) -> Column:
+    """Candidate names: runs of two to six capitalised words and all their endings of two words or more."""
+    run = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){1,5}"
+    words = F.transform(F.regexp_extract_all(c, F.lit(run), F.lit(0)), lambda r: F.split(r, " "))
+    endings = lambda w: F.transform(F.sequence(F.lit(2), F.size(w)), lambda n: F.array_join(F.slice(w, -n, n), " "))
+    return F.array_distinct(F.flatten(F.transform(words, endings)))
+
+
+def sigla(c: Column) -> Column:
+    """Words of three to eight capitals, each once; none in a text mostly in capitals."""
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"\b(\p{Lu}{3,8})\b"), F.lit(1)))
+    return F.when(upper_share(c) <= 0.6, found).otherwise(F.slice(found, 1, 0))
+
+
 def title_key(c: Column, longest: int = 120) -> Column:
     return F.substring(F.trim(F.regexp_replace(folded(c), "[^a-z0-9]+", " ")), 1, longest)
 
@@ -68,16 +173,25 @@ def domain(c: Column) -> Column:
 
 def slug_title(c: Column) -> Column:
     """A title from the last part of a URL's path: long numbers and hex go, three words are needed."""
-    last = F.regexp_replace(F.element_at(F.split(F.regexp_replace(F.try_parse_url(c, F.lit("PATH")), "/+$", ""), "/"), -1), r"\.[a-z]{2,5}$", "")
-    words = F.filter(F.split(last, "[-_+]+"), lambda w: (w != "") & ~F.rlike(w, F.lit("^([0-9]{5,}|[0-9a-f]*[0-9][0-9a-f]{7,})$")))
-    return F.when(F.size(words) >= 3, F.initcap(F.array_join(words, " ")))
+    path = F.try_url_decode(F.regexp_replace(F.try_parse_url(c, F.lit("PATH")), "/+$", ""))
+    last = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?i)\.(pdf|html?|aspx|php|xlsx?|docx?)$", "")
+    words = F.filter(F.split(last, r"[-_+.\s]+"), lambda w: (w != "") & ~F.rlike(w, F.lit("^([0-9]{5,}|[0-9a-f]{8,})$")))
+    title = F.array_join(words, " ")
+    return F.when(F.size(words) >= 3, F.concat(F.upper(F.substring(title, 1, 1)), F.substring(title, 2, 1 << 30)))
+
+
+#: How much longer a translation may be, how often a fragment may follow itself, and the least share of distinct words.
+_LONGER, _SPARE, _REPEATS, _DISTINCT, _WORDS = 2.2, 40, r"(.{3,20}?)\1{3,}", 0.3, 10
 
 
 def degenerate(source: Column, text: Column) -> Column:
-    """A translation gone wrong: far longer than its source, a fragment four times over, or few distinct words."""
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
-    few = (F.size(words) >= 10) & (F.size(F.array_distinct(words)) < F.size(words) * 0.3)
-    return (F.length(text) > F.length(source) * 2.2 + 40) | F.rlike(text, F.lit(r"(.{3,20}?)\1{3,}")) | few
+    """A translation gone wrong: far longer than its source; a fragment four times over, unless the source repeats one as
+    well; or few distinct words among ten or more."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    few = (F.size(words) >= _WORDS) & (F.size(F.array_distinct(words)) < F.size(words) * _DISTINCT)
+    stuck = F.rlike(text, F.lit(_REPEATS)) & ~F.rlike(source, F.lit(_REPEATS))
+    told = (F.length(text) > F.length(source) * _LONGER + _SPARE) | stuck | few
+    return F.coalesce((text != "") & (source != "") & told, F.lit(False))
 
 
 def upper_share(c: Column) -> Column:
@@ -95,7 +209,8 @@ def stem(w: Column) -> Column:
 
 
 def tokens(c: Column, stop: tuple[str, ...] = ()) -> Column:
-    words = F.filter(F.split(folded(c), "[^a-z0-9]+"), lambda w: (F.length(w) > 1) & ~w.isin(*stop) if stop else F.length(w) > 1)
+    """Stemmed words of Latin, Greek and Cyrillic letters and digits."""
+    words = F.filter(F.split(folded(c), "[^a-z0-9α-ωа-я]+"), lambda w: (F.length(w) > 1) & ~w.isin(*stop) if stop else F.length(w) > 1)
     return F.transform(words, stem)
 
 
@@ -103,23 +218,6 @@ def days_since(day: Column, as_of: str) -> Column:
     return F.coalesce(F.datediff(F.lit(as_of).cast("date"), day), F.lit(99999))
 
 
-def first_date(c: Column, as_of: str) -> Column:
-    """The first date that parses, tried form by form; none before 2000 or after the day behind ``as_of``."""
-    t = folded(c)
-    months = F.create_map(*[F.lit(x) for n, names in MONTHS.items() for w in dict.fromkeys(names.split()) for x in (w, n)])
-    part = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
-    whole = lambda y, m, d: F.try_to_date(F.concat_ws("-", y, F.lpad(m.cast("string"), 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd")
-    iso, dotted = r"\b(\d{4})-(\d{2})-(\d{2})\b", r"\b(\d{1,2})[./](\d{1,2})[./](\d{4})\b"
-    day_first, month_first = r"\b(\d{1,2})(?:er|st|nd|rd|th|\.)? (?:de )?([a-z]{3,10}) (?:de )?(\d{4})\b", r"\b([a-z]{3,10}) (\d{1,2}),? (\d{4})\b"
-    found = F.coalesce(
-        whole(part(iso, 1), part(iso, 2), part(iso, 3)),
-        whole(part(dotted, 3), part(dotted, 2), part(dotted, 1)),
-        whole(part(day_first, 3), F.try_element_at(months, part(day_first, 2)), part(day_first, 1)),
-        whole(part(month_first, 3), F.try_element_at(months, part(month_first, 1)), part(month_first, 2)),
-    )
-    return F.when((found >= F.lit("2000-01-01").cast("date")) & (found <= F.date_add(F.lit(as_of).cast("date"), 1)), found)
-
-
 #: Rough euros for one unit of a currency.
 RATES = {"€": 1.0, "eur": 1.0, "euros": 1.0, "$": 0.92, "usd": 0.92, "£": 1.17, "gbp": 1.17, "chf": 1.05}
 _GAP = r"[\s\u00a0\u202f]?"

@@ -21,14 +21,15 @@ def contains_join(holders: DataFrame, array: str, wanted: DataFrame, key: str) -
 def first_after(left: DataFrame, right: DataFrame, keys: list[str], start: str, at: str, tie: list[str]) -> DataFrame:
     """For each left row the first right row of its keys that is not before ``start``; none: nulls.
 
-    Both sides go into one ordered window by the keys, so each row moves once and a hot key makes no pairs.
+    Both sides go into one ordered window by the keys, so each row moves once and a hot key makes no pairs. The order
+    runs back in time, so that the frame grows row by row and nothing is computed twice.
     """
     names = [c for c in right.columns if c not in keys]
     asks = left.select(*keys, F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.struct(*left.columns).alias("_ask"))
     has = right.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.struct(at, *tie, *[n for n in names if n not in (at, *tie)]).alias("_has"))
     both = asks.unionByName(has, allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("_at", "_kind", "_has").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = both.withColumn("_first", F.first("_has", ignorenulls=True).over(order)).where("_kind = 0")
+    order = Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_has")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_first", F.last("_has", ignorenulls=True).over(order)).where("_kind = 0")
     return found.select("_ask.*", *[F.col(f"_first.{n}").alias(n) for n in names])
 
 

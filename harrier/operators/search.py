@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: BM25's constants.
@@ -10,14 +10,62 @@ K1, B = 1.2, 0.75
 
 
 def bm25(docs: DataFrame, key: str, words: str, query: list[str], top: int | None = None) -> DataFrame:
-    """(key, score): ``words`` is an array column. Only the query's words leave the scan; statistics are one row each."""
-    wanted = F.array(*map(F.lit, sorted(set(query))))
-    d = docs.select(key, F.size(words).alias("len"), F.filter(words, lambda w: F.array_contains(wanted, w)).alias("hits"))
-    total = d.agg(F.count("*").alias("n_docs"), F.avg("len").alias("mean"))
-    tf = d.select(key, "len", F.explode("hits").alias("word")).groupBy(key, "len", "word").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("word").agg(F.count("*").alias("df"))  # a row for each query word at most
-    scored = tf.join(F.broadcast(df), "word").crossJoin(F.broadcast(total))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
-    found = scored.groupBy(key).agg(F.round(F.sum(part), 6).alias("score"))
+    """(key, score) of the documents with a word of the query; ``words`` is an array column.
+
+    Words are counted inside each row's array: one pass for the statistics, which are one row, one for the scores, and no
+    shuffle by document.
+    """
+    wanted = sorted(set(query))
+    held = [(F.size(words) - F.size(F.array_remove(words, w))).alias(f"tf_{i}") for i, w in enumerate(wanted)]
+    d = docs.select(key, F.size(words).alias("len"), *held)
+    some = [F.count(F.when(F.col(f"tf_{i}") > 0, 1)).alias(f"df_{i}") for i in range(len(wanted))]
+    both = d.crossJoin(F.broadcast(d.agg(F.count("*").alias("n_docs"), F.avg("len").alias("mean"), *some)))
+
+    def part(i: int) -> Column:
+        tf, df = F.col(f"tf_{i}"), F.col(f"df_{i}")
+        idf = F.log(1 + (F.col("n_docs") - df + 0.5) / (df + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / F.col("mean")))
+
+    hits = sum((F.col(f"tf_{i}") for i in range(1, len(wanted))), F.col("tf_0"))
+    found = both.where(hits > 0).select(key, F.round(sum((part(i) for i in range(1, len(wanted))), part(0)), 6).alias("score"))
     return found.orderBy(F.desc("score"), key).limit(top) if top else found
+
+
+def boosted(df: DataFrame, text_score: str, zones: list[str], topics: list[str], intents: list[str], horizon: int | None, as_of: str, has_words: bool = True) -> DataFrame:
+    """Adds score, null for rows that the question rules out, and keeps only scores above 0.
+
+    Reads kind (article, alerte, texte, date), zone, codes (array), level, essential, fine, status, type, day and the text
+    score, which is 0 without a word in common. The weights are fixed values.
+    """
+    s, hit = F.col(text_score), F.col(text_score) > 0
+    kind, day = F.col("kind"), F.col("day")
+    asked = lambda i: F.lit(i in intents)
+    is_in = lambda c, *values: F.coalesce(F.col(c).isin(*values), F.lit(False))
+    on_topic = F.coalesce(F.arrays_overlap("codes", F.array(*map(F.lit, topics))), F.lit(False)) if topics else F.lit(False)
+    plus = lambda c, n: F.when(c, F.lit(float(n))).otherwise(0.0)
+    near = is_in("zone", *zones) if zones else F.lit(False)
+    wide = (F.col("zone") == "Europe") & F.lit("Europe" not in zones) & (kind != "article") if zones else F.lit(False)
+    out = F.lit(False)
+    if has_words:
+        out = out | (~hit & ~on_topic)
+    if zones:
+        out = out | ~(near | wide)
+    if topics:
+        out = out | (~on_topic & ~hit)
+    dated = (kind == "date") | ((kind == "alerte") & is_in("type", "echeance"))
+    since = F.datediff(F.lit(as_of).cast("date"), day)
+    if horizon:
+        late = ~dated & day.isNotNull() & (since > horizon) & ~asked("echeance")
+        out = out | (dated & ~F.coalesce((-since).between(0, horizon), F.lit(False))) | late
+    article, alert = kind == "article", kind == "alerte"
+    told = s + plus(near, 3) + plus(~near & wide, 0.3)
+    if topics:
+        told = told + F.when(on_topic, 4.0).otherwise(-1.0)
+    level = F.when(F.col("level") == "elevee", 1.5).when(F.col("level") == "moyenne", 0.7).otherwise(-0.5)
+    told = told + F.when(article, level + plus(F.col("essential"), 1)).otherwise(0.0)
+    told = told + F.when(article & asked("sanction"), F.when(F.col("fine") | is_in("status", "sanction"), 3.0).otherwise(-1.0)).otherwise(0.0)
+    told = told + plus(article & asked("projet") & is_in("status", "projet", "consultation"), 2.5) + plus(article & asked("nouveau") & is_in("status", "adopte", "en_vigueur"), 1.5)
+    told = told + plus(alert, 1.5) + plus(alert & asked("projet") & is_in("type", "proposition"), 2) + plus(alert & asked("nouveau") & is_in("type", "adopte"), 2)
+    told = told + plus((kind == "texte") & asked("obligation"), 2) + plus(dated & asked("echeance"), 3)
+    told = told + F.when(since.between(0, 30), 2.0 if "nouveau" in intents else 0.8).when(since <= 90, 0.4).otherwise(0.0)
+    return df.withColumn("score", F.round(told, 6)).where(~out & (F.col("score") > 0))

@@ -31,13 +31,13 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decisions, reports, watch  # noqa: F401  they register their queries
+    from . import decisions, register, reports, texts, watch  # noqa: F401  they register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decisions, reports, watch  # noqa: F401
+    from . import decisions, register, reports, texts, watch  # noqa: F401
 
     return dict(_sql)
 
@@ -204,7 +204,10 @@ def month_breaks(spark, d):
 
 @query("SELECT event_id, event_type, dense_rank() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE)) AS run FROM events")
 def run_rank(spark, d):
-    return _days(spark, d).select("event_id", "event_type", F.dense_rank().over(Window.partitionBy("event_type").orderBy("day")).alias("run"))
+    """Runs are ranked, not rows: a row for each type and day goes through the window."""
+    e = _days(spark, d).select("event_id", "event_type", "day")
+    runs = e.select("event_type", "day").distinct().withColumn("run", F.dense_rank().over(Window.partitionBy("event_type").orderBy("day")))
+    return e.join(runs, ["event_type", "day"]).select("event_id", "event_type", "run")
 
 
 @query("SELECT doc_id, min(doc_id) OVER (PARTITION BY substring(text, 1, 40)) AS first_doc_id FROM documents WHERE length(text) >= 40 QUALIFY doc_id > first_doc_id")
@@ -220,15 +223,14 @@ WITH t AS (SELECT label, list(embedding ORDER BY vec_id)[1] AS theme FROM embedd
 s AS (SELECT e.vec_id, t.label, round(list_inner_product(e.embedding::DOUBLE[], t.theme::DOUBLE[]), 6) AS score FROM embeddings e CROSS JOIN t)
 SELECT vec_id, label AS theme, score FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1""")
 def best_theme(spark, d):
-    """One theme vector a label. More than 1000 labels are an error: the themes are sent to every task."""
+    """One theme vector a label, compared in blocks of 500, so that any number of labels will do."""
     e = table(spark, d, "embeddings")
-    themes = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("theme")).orderBy("label").limit(1001)
-    listed = F.sort_array(F.collect_list(F.struct("label", "theme")))
-    one = themes.agg(F.when(F.count("*") > 1000, F.raise_error(F.lit("more than 1000 themes"))).otherwise(listed).alias("themes"))
+    themes = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("theme"))
+    blocks = themes.groupBy(F.pmod(F.hash("label"), F.ceil(F.lit(themes.count()) / 500).cast("int")).alias("block")).agg(F.sort_array(F.collect_list(F.struct("label", "theme"))).alias("themes"))
     wide = lambda v: F.transform(v, lambda x: x.cast("double"))
     dot = lambda a, b: F.round(F.aggregate(F.zip_with(wide(a), wide(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 6)
     scores = F.transform("themes", lambda t: F.struct(dot(F.col("embedding"), t["theme"]).alias("score"), t["label"].alias("theme")))
-    best = e.crossJoin(F.broadcast(one)).select("vec_id", decide.best_theme(scores).alias("b"))
+    best = e.crossJoin(blocks).select("vec_id", decide.best_theme(scores).alias("b")).groupBy("vec_id").agg(F.max("b").alias("b"))
     return best.select("vec_id", (-F.col("b.back")).alias("theme"), "b.score")
 
 

@@ -39,9 +39,15 @@ def page_ids(spark, d):
     return table(spark, d, "pages").select("page_id", T.url_id(F.col("url")).alias("url_id"))
 
 
-@query(r"""
+def _decoded(c: str) -> str:
+    for name, to in [*T.ENTITIES.items(), *T.ENTITIES.items()]:
+        c = f"replace({c}, '{name}', '{to.replace(chr(39), chr(39) * 2)}')"
+    return c
+
+
+@query(f"""
 WITH t AS (SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS t FROM pages)
-SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(t, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM t""")
+SELECT page_id, trim(regexp_replace(regexp_replace({_decoded('t')}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS title FROM t""")
 def page_titles(spark, d):
     title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
     return table(spark, d, "pages").select("page_id", T.clean(title).alias("title"))

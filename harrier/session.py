@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "harrier", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,3 +23,20 @@ def get_session(app: str = "harrier", master: str | None = None, **conf: str) ->
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share. Only a local session may do without: it gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="harrier-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that a loop reads again and again."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

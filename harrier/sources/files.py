@@ -23,8 +23,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_hot_and_cold(df: DataFrame, path: str, day: str) -> None:
-    """By month, so that a reader of recent months opens only those folders."""
-    df.withColumn("month", F.date_format(day, "yyyy-MM")).repartition("month").write.partitionBy("month").parquet(path)
+    """By month, so that a reader of recent months opens only those folders. Each task writes its own file of a month: no
+    month goes through one task."""
+    df.withColumn("month", F.date_format(day, "yyyy-MM")).write.partitionBy("month").parquet(path)
 
 
 def read_links(pages: DataFrame, html: str = "html") -> DataFrame:

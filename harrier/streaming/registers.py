@@ -29,10 +29,16 @@ def streaks(events: DataFrame, key: str, at: str, failed: str) -> DataFrame:
     """(key, streak) after each batch: failures in a row up to the latest row."""
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(at)
-        n = state.get[0] if state.exists else 0
-        for bad in rows[failed]:
-            n = n + 1 if bad else 0
+        before = state.get[0] if state.exists else 0
+        good, bad = None, pd.Series(dtype="datetime64[ns]")
+        # only the failures behind the latest success so far are held
+        for rows in frames:
+            last = rows.loc[~rows[failed], at].max()
+            good = last if good is None or (pd.notna(last) and last > good) else good
+            bad = pd.concat([x for x in (bad, rows.loc[rows[failed], at]) if len(x)]) if len(bad) or rows[failed].any() else bad
+            if pd.notna(good):
+                bad = bad[bad > good]
+        n = len(bad) if pd.notna(good) and good is not None else before + len(bad)
         state.update((n,))
         yield pd.DataFrame({key: [k[0]], "streak": [n]})
 
