@@ -24,8 +24,9 @@ def page_links(spark, d):
 
 @query(r"""
 WITH b AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<nav\b.*?</nav>', ' ', 'g') AS bare FROM pages),
+i AS (SELECT page_id, coalesce(nullif(regexp_extract(bare, '(?is)<article\b[^>]*>(.*)</article>', 1), ''), nullif(regexp_extract(bare, '(?is)<main\b[^>]*>(.*)</main>', 1), ''), bare) AS bare FROM b),
 p AS (SELECT page_id, list_transform(regexp_extract_all(bare, '(?is)<(?:p|li|h2|h3)\b[^>]*>(.*?)</(?:p|li|h2|h3)>', 1),
-  lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS parts FROM b)
+  lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS parts FROM i)
 SELECT page_id, array_to_string(list_filter(parts, lambda x: length(x) >= 50), chr(10)) AS main_text FROM p""")
 def page_main_text(spark, d):
     return table(spark, d, "pages").select("page_id", files.main_text("html").alias("main_text"))

@@ -17,9 +17,15 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Semicolons, quotes only where needed, arrays joined by a comma."""
-    flat = [F.array_join(c, ", ").alias(c) if k.startswith("array") else F.col(c) for c, k in df.dtypes]
-    df.select(*flat).write.option("header", True).option("sep", ";").csv(path)
+    """Semicolons, quotes only where needed and doubled inside, lines ended as spreadsheets expect, a byte order mark in
+    front of each file's header, arrays joined by a comma."""
+    flat = [F.array_join(c, ", ").alias(c) if k.startswith("array") else F.col(c).cast("string").alias(c) for c, k in df.dtypes]
+    quoted = lambda c: F.when(F.rlike(c, F.lit('[";\r\n]')), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(c, F.lit("")))
+    line = F.concat_ws(";", *[quoted(c) for c in flat])
+    # the first row of each file brings the header
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    head = F.lit("\ufeff" + ";".join(df.columns) + "\r\n")
+    df.select(F.when(first, F.concat(head, line)).otherwise(line).alias("value")).write.option("lineSep", "\r\n").text(path)
 
 
 def write_hot_and_cold(df: DataFrame, path: str, day: str) -> None:
@@ -37,8 +43,10 @@ def read_links(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def main_text(html: str = "html"):
-    """Paragraphs of an article in order: scripts, styles, comments and navigation go first; short paragraphs are noise."""
+    """Paragraphs of a page's article, or else its main part, or else all of it, in order: scripts, styles, comments and
+    navigation go first; short paragraphs are noise."""
     bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style|nav)\b.*?</\1>", " ")
-    parts = F.regexp_extract_all(bare, F.lit(r"(?is)<(p|li|h2|h3)\b[^>]*>(.*?)</\1>"), F.lit(2))
+    inner = [F.nullif(F.regexp_extract(bare, rf"(?is)<{tag}\b[^>]*>(.*)</{tag}>", 1), F.lit("")) for tag in ("article", "main")]
+    parts = F.regexp_extract_all(F.coalesce(*inner, bare), F.lit(r"(?is)<(p|li|h2|h3)\b[^>]*>(.*?)</\1>"), F.lit(2))
     parts = F.transform(parts, lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]+>", " "), r"\s+", " ")))
     return F.array_join(F.filter(parts, lambda x: F.length(x) >= 50), "\n")

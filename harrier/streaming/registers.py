@@ -25,6 +25,39 @@ def by_window(events: DataFrame, key: str, at: str, width: str, delay: str) -> D
     return w.agg(F.count("*").alias("n")).select("w.start", "w.end", key, "n")
 
 
+def two_times(items: DataFrame, published: str, detected: str, floor: str | None = None, late: int = 14) -> DataFrame:
+    """Adds day (of publication, or of detection where that is missing), estimated, and counts_from: the detection, or
+    ``late`` days after the publication where that was found later still. Items before ``floor`` are left out, not by the
+    watermark but for good."""
+    d = items.withColumn("day", F.coalesce(published, detected)).withColumn("estimated", F.col(published).isNull())
+    d = d.withColumn("counts_from", F.least(detected, F.date_add("day", late)))
+    return d.where(F.col("day") >= F.lit(floor).cast("date")) if floor else d
+
+
+def lifecycle(events: DataFrame, key: str, at: str, days: int, delay: str) -> DataFrame:
+    """(key, first_at, last_at, status): ``expected`` after each batch with a signal, ``expired`` once the watermark lies
+    ``days`` days behind the last one; the key's state is then dropped. A first detection never moves later."""
+
+    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            first, last = state.get
+            state.remove()
+            yield pd.DataFrame({key: [k[0]], "first_at": [first], "last_at": [last], "status": ["expired"]})
+            return
+        first, last = state.get if state.exists else (None, None)
+        for rows in frames:
+            low, high = rows[at].min(), rows[at].max()
+            first, last = min(x for x in (first, low) if x is not None), max(x for x in (last, high) if x is not None)
+        state.update((first, last))
+        due = int(pd.Timestamp(last).value // 1_000_000) + days * 86_400_000
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [k[0]], "first_at": [first], "last_at": [last], "status": ["expected"]})
+
+    kind = dict(events.dtypes)[key]
+    some = events.select(key, F.col(at).cast("timestamp").alias(at)).withWatermark(at, delay)
+    return some.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, first_at timestamp, last_at timestamp, status string", "first_at timestamp, last_at timestamp", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def streaks(events: DataFrame, key: str, at: str, failed: str) -> DataFrame:
     """(key, streak) after each batch: failures in a row up to the latest row."""
 
