@@ -180,9 +180,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         lower = labels.join(near, "node").select("node", F.least("label", "m").alias("new"), F.col("label").alias("old"))
-        # only labels that have a lower label themselves are looked up, each once
+        # only labels that have a lower label themselves; both sides are shuffled as they are, so a label of very many nodes may be split
         jump = labels.where("label < node").select(F.col("node").alias("new"), F.col("label").alias("further"))
-        jump = jump.join(lower.select("new").distinct(), "new")
         after = scratch.write(lower.join(jump, "new", "left").select("node", F.least("new", "further").alias("label"), "old"))
         scratch.empty(labels)
         if after.where("label <> old").isEmpty():

@@ -12,6 +12,9 @@ matrix. Rounds of two kinds open groups:
 2. once, blocks of about ``block`` nodes of a component so far (or of nodes still alone), against the nodes of other
    components that share a prefix token with the block.
 
+Sides of joins that grow with the corpus are merged, not broadcast, at every size (hints), so that the plan seen on a small
+table is the plan of a large one.
+
 Every pair of different components that shares a prefix token is so compared in full: no link is lost.
 
 Defined cases: a null or empty text has no shingle, n_shingles 0, and is its own component. Repeated rows are one
@@ -243,7 +246,7 @@ def _with_texts(wanted: DataFrame, source: DataFrame) -> DataFrame:
                 yield batch.take(pa.array(pick))
 
     some = source.select(F.col("key").alias("held"), "text").mapInArrow(run, "held long, text string")
-    return wanted.join(some, "held")
+    return wanted.hint("merge").join(some, "held")
 
 
 def _open_lists(mixed: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
@@ -303,7 +306,7 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
     # nodes that share a token, each with one row's key
     listed = lists.groupBy("node").agg(F.min("leader").alias("leader"))
     firsts = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("key").alias("held"))
-    base = scratch.write(firsts.join(listed, "node"))
+    base = scratch.write(firsts.hint("merge").join(listed, "node"))
     links, nodes = None, base.select("node", "n", "held", F.col("node").alias("comp"))
     mixed = None
     for again in (False, True):
@@ -319,9 +322,9 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
         pairs = pairs.groupBy("leader", "node").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("n", "leader_n", "comp", "leader_comp")])
         # these rounds may miss links, the last may not: each node asks the one leader it shares most with
         pairs = pairs.where(F.col("c") * 2 >= _need(F.col("n"), F.col("leader_n"), share)).groupBy("node").agg(F.max(F.struct("c", "leader", "comp", "leader_comp")).alias("best"))
-        pairs = pairs.select(F.col("best.leader").alias("grp"), "node", "best.comp", "best.leader_comp").join(nodes.select("node", "held"), "node")
+        pairs = pairs.select(F.col("best.leader").alias("grp"), "node", "best.comp", "best.leader_comp").join(nodes.select("node", "held").hint("merge"), "node")
         pairs = scratch.write(pairs)
-        leaders = pairs.select("grp", F.col("grp").alias("node"), F.col("leader_comp").alias("comp")).distinct().join(nodes.select("node", "held"), "node")
+        leaders = pairs.select("grp", F.col("grp").alias("node"), F.col("leader_comp").alias("comp")).distinct().join(nodes.select("node", "held").hint("merge"), "node")
         more = _links(leaders, pairs.drop("leader_comp"), source, scratch, k, share)
         scratch.empty(pairs)
         links = more if links is None else links.union(more)
@@ -332,7 +335,7 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
         nodes = nodes.join(sizes, "comp").withColumn("many", F.col("size") > 1).withColumn("near", F.when(F.col("many"), F.col("comp")).otherwise(F.col("leader")))
         nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", "near"))
         scratch.empty(labels)
-        mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size"), "node")
+        mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size").hint("merge"), "node")
     # members of like sizes, so that the bound of a group is close to its members' own
     nodes = nodes.withColumn("scale", F.floor(F.log("n") * 12))
     kinds = ["near", "many", "scale"]
@@ -341,14 +344,14 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
     nodes = scratch.write(nodes.select("node", "n", "held", "comp", "size", "many", F.xxhash64(*kinds, F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("grp")))
 
     ranges = nodes.groupBy("grp").agg(F.min("n").alias("g_min"), F.max("n").alias("g_max"))
-    mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size", "many", "grp"), "node")
+    mixed = lists.select("token", "hot", "node").join(nodes.select("node", "n", "comp", "size", "many", "grp").hint("merge"), "node")
     shared = _shared(mixed.where("not hot"), share).union(_shared(mixed.where("hot"), share))
     shared = shared.groupBy("grp", "node").agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("comp").alias("comp")).join(ranges, "grp")
     # sizes of members that can link with the query, and the least shared prefix that leaves room for a link
     low = F.greatest(F.col("g_min"), F.ceil(F.col("n") * share / 100))
     high = F.least(F.col("g_max"), F.floor(F.col("n") * 100 / share))
     queries = shared.where((low <= high) & (F.col("c") >= _least_need(F.col("n"), low, high, share))).select("grp", "node", "comp")
-    queries = scratch.write(queries.join(nodes.select("node", "held"), "node"))
+    queries = scratch.write(queries.join(nodes.select("node", "held").hint("merge"), "node"))
     scratch.empty(lists)
     members = nodes.select("grp", "node", "comp", "held").join(queries.select("grp").distinct(), "grp", "left_semi")
     links = links.union(_links(members, queries, source, scratch, k, share))
@@ -357,10 +360,10 @@ def classes(docs: DataFrame, k: int = 5, share: int = 75, block: int = 128) -> D
     # a component is named by the smallest doc_id of its nodes; a set without shingles links with nothing and keeps its own
     final = components(links, scratch)
     least = sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    labelled = scratch.write(least.join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least"))
+    labelled = scratch.write(least.hint("merge").join(final, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least"))
     names = scratch.write(labelled.groupBy("label").agg(F.min("least").alias("name")))
     named = scratch.write(labelled.join(names, "label").select("node", "label", "name"))
-    found = sets.join(named, "node", "left")
+    found = sets.join(named.hint("merge"), "node", "left")
     return found.select("doc_id", "key", F.col("n").alias("n_shingles"), "label", F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
