@@ -31,13 +31,13 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import decisions, register, reports, texts, watch  # noqa: F401  they register their queries
+    from . import decisions, intake, register, reports, texts, watch  # noqa: F401  they register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import decisions, register, reports, texts, watch  # noqa: F401
+    from . import decisions, intake, register, reports, texts, watch  # noqa: F401
 
     return dict(_sql)
 
