@@ -160,7 +160,7 @@ def tokenised(docs: DataFrame, path: str, end: int = 1, capacity: int = CAPACITY
     return source.mapInArrow(_pieces(path, end, capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary")
 
 
-def bucket_count(docs: DataFrame, bucket_tokens: int = 1 << 21, chars_a_token: float = 2.7) -> int:
+def bucket_count(docs: DataFrame, bucket_tokens: int = 1 << 22, chars_a_token: float = 2.7) -> int:
     """Buckets for about ``bucket_tokens`` tokens each, judged by the characters of all texts."""
     chars = docs.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     return max(1, round(chars / chars_a_token / bucket_tokens))
@@ -177,8 +177,8 @@ def pack(pieces: DataFrame, buckets: int, capacity: int = CAPACITY) -> DataFrame
     by_class = Window.partitionBy("bucket", "length")
     # equal rows differ in where they were read
     part = pieces.withColumn("row", F.monotonically_increasing_id()).withColumn("bucket", F.pmod(F.xxhash64(*place), F.lit(buckets)))
-    # a task holds some dozens of buckets at most, whatever the number of shuffle partitions set
-    part = part.repartition(buckets // 32, "bucket") if buckets // 32 > int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")) else part.repartition("bucket")
+    # a task holds about sixteen buckets, whatever the number of shuffle partitions set
+    part = part.repartition(buckets // 16, "bucket") if buckets // 16 > int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")) else part.repartition("bucket")
     part = part.withColumn("k", F.floor(F.lit(capacity) / F.col("length")))
     part = part.withColumn("nth", F.row_number().over(by_class.orderBy(*place)) - 1).withColumn("in_class", F.count("*").over(by_class))
     part = part.withColumn("bin", F.floor(F.col("nth") / F.col("k")))
