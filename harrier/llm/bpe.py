@@ -33,8 +33,8 @@ from .common import plain, rows
 
 #: Fixed value: the split pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Fragments a Python worker remembers.
-MEMO = 1_000_000
+#: Bytes of fragments and their ids that a Python worker remembers, counting so many for an entry besides.
+MEMO, ENTRY = 240_000_000, 160
 _NONE = 1 << 62
 _OLD = unicodedata.ucd_3_2_0
 _loaded: dict = {}
@@ -76,6 +76,7 @@ class ByteBPE:
         self.sure: dict[str, bool] = {}
         self.memo: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
+        self.held = 0
 
     def cuts(self, b: np.ndarray) -> np.ndarray:
         """Where a pair is never inside a token and the split pattern starts anew: in front of white space.
@@ -159,6 +160,7 @@ class ByteBPE:
                     got = struct.pack(f"<{len(ids)}i", *ids)
                     if len(part) < 40:
                         known[part] = got
+                        self.held += len(part) + len(got) + ENTRY
                 out.append(got)
         return out[0] if len(out) == 1 else b"".join(out)
 
@@ -184,9 +186,10 @@ class ByteBPE:
         at = self.cuts(np.frombuffer(data, np.uint8)).tolist()
         pieces = [data[x:y] for x, y in zip([0, *at], [*at, len(data)], strict=True)]
         memo = self.memo
-        if len(memo) + len(self.parts) > MEMO:
+        if self.held > MEMO:
             memo.clear()
             self.parts.clear()
+            self.held = 0
         got = list(map(memo.get, pieces))
         for i in [i for i, g in enumerate(got) if g is None]:
             piece = pieces[i]
@@ -195,8 +198,9 @@ class ByteBPE:
                 # a fragment of one part is remembered as a part first, as a fragment when it comes again
                 again = piece in self.parts
                 got[i] = self.fragment(piece)
-                if again or piece not in self.parts:
+                if len(piece) < 400 and (again or piece not in self.parts):
                     memo[piece] = got[i]
+                    self.held += len(piece) + len(got[i]) + ENTRY
         return b"".join(got)
 
     def encode(self, text: str | None) -> np.ndarray:
