@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import plain, rows, utf8
 
 CAPACITY = 2048
-#: Words whose ids a Python worker remembers.
-MEMO = 1_000_000
+#: Bytes of words and their ids that a Python worker remembers, counting so many for an entry besides.
+MEMO, ENTRY = 240_000_000, 160
 #: Punctuation that is a token run of its own behind an ASCII letter or digit, or another letter that stays one letter.
 _TAIL = b"!.,;:?*$%&#|>"
 _encoders: dict = {}
@@ -51,6 +51,7 @@ class WordIds:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.memo: dict[bytes, bytes] = {}
+        self.held = 0
         # byte-level vocabularies show bytes that do not print as the code points from 256 on, in order
         prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.shown = dict(zip([b for b in range(256) if b not in prints], range(256, 512), strict=False))
@@ -61,8 +62,9 @@ class WordIds:
         plain_case = b"<|" not in data and (data.isascii() or (b"\xcc" not in data and b"\xcd" not in data))
         words = (data.lower() if plain_case else data).split()
         memo = self.memo
-        if len(memo) > MEMO:
+        if self.held > MEMO:
             memo.clear()
+            self.held = 0
         got = list(map(memo.get, words))
         missing = [i for i, g in enumerate(got) if g is None]
         if missing:
@@ -93,10 +95,12 @@ class WordIds:
                         other.append((w, text))
                 for (w, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False), strict=True):
                     memo[w] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                self.held += sum(len(w) + len(memo[w]) + ENTRY for w in new)
             for i, (stem, tail, known) in zip(missing, parts, strict=True):
                 got[i] = memo[stem] + memo[tail] if tail else memo[stem]
                 if known:
                     memo[words[i]] = got[i]
+                    self.held += len(words[i]) + len(got[i]) + ENTRY
         return b"".join(got)
 
 
