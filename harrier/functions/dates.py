@@ -74,6 +74,32 @@ def deadlines(c: Column) -> Column:
     return F.flatten(F.transform(binding, all_dates))
 
 
+#: Characters before and behind a date in which an obligation binds it.
+BEFORE, BEHIND = 110, 60
+_DUTIES = OBLIGATION.removeprefix(r"\b(").removesuffix(r")\b").split("|")
+#: A date comes first, so that what stands before and behind is looked at beside dates only.
+_NEAR = (
+    f"(?s)(?={_ANY})(?:(?<=(?:{'|'.join(rf'{w}.{{0,{BEFORE - len(w)}}}' for w in _DUTIES)}))"
+    f"|(?=(?>{_ANY})(?:{'|'.join(rf'.{{0,{BEHIND - len(w)}}}{w}' for w in _DUTIES)})))(?>{_ANY})"
+)
+
+
+def near_deadlines(c: Column, own_day: Column, as_of: str, back: int = 45, ahead: int = 3 * 365, most: int = 4) -> Column:
+    """The full dates with an obligation near, in whatever sentence, and not in a sentence on an occasion unless that has
+    strong words; within a span around ``as_of``, other than the text's own day; future ones first, ``most`` at most."""
+    t = folded(c)
+    # digits of other sentences are blanked, so that their dates go and distances stay
+    sentences = F.transform(
+        F.split(t, r"(?<=[.!?;])(?=\s)|(?<=\n)"),
+        lambda s: F.when(F.rlike(s, F.lit(OCCASION)) & ~F.rlike(s, F.lit(STRONG)), F.translate(s, "0123456789", "##########")).otherwise(s),
+    )
+    spans = F.regexp_extract_all(F.array_join(sentences, ""), F.lit(_NEAR), F.lit(0))
+    found = F.filter(F.flatten(F.transform(spans, all_dates)), lambda d: ~d["approx"])
+    today = F.lit(as_of).cast("date")
+    days = F.filter(F.transform(found, lambda d: d["day"]), lambda d: d.between(F.date_sub(today, back), F.date_add(today, ahead)) & ~F.coalesce(d == own_day, F.lit(False)))
+    return upcoming(days, as_of, most)
+
+
 def upcoming(days: Column, as_of: str, most: int = 4) -> Column:
     """Of an array of days the future ones first, then by date, ``most`` at most."""
     today = F.lit(as_of).cast("date")

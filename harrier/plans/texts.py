@@ -333,3 +333,19 @@ def page_clues(spark, d):
     """The signs of a page's first 1500 characters, the reference size of its head."""
     found = signals.flags(F.substring("text", 1, 1500), {"signal": "(?i)licen[sc]e", "topic": "@", "strong": "http"})
     return _docs(spark, d).select("doc_id", *[c.alias(n) for n, c in found.items()])
+
+
+@query("""
+WITH o AS (SELECT o_orderkey, o_orderpriority AS p, CAST(o_orderdate AS DATE) AS d FROM orders), n AS (SELECT *, CASE WHEN d BETWEEN DATE '1996-06-01' - 45 AND DATE '1996-06-01' + 1095 THEN strftime(d, '%Y-%m-%d') ELSE '' END AS told FROM o)
+SELECT o_orderkey, CASE WHEN p = '5-LOW' THEN '' WHEN p = '4-NOT SPECIFIED' THEN '' ELSE told END AS days FROM n""")
+def near_deadlines(spark, d):
+    """Dates of sentences made from orders: with an obligation in the sentence before, behind the date, too far away, at an
+    event; the day of signing, far from every obligation, never counts."""
+    p, day = F.col("o_orderpriority"), F.date_format("o_orderdate", "d MMMM yyyy")
+    far = F.lit(" It is a long and plain text that says nothing of what anybody has to do, and goes on for a while, and then for some more of it.")
+    said = F.when(p == "1-URGENT", F.concat(F.lit("Firms must comply. The text enters into force on "), day, F.lit(".")))
+    said = said.when(p == "2-HIGH", F.concat(day, F.lit(" is the deadline."))).when(p == "4-NOT SPECIFIED", F.concat(F.lit("Firms must act."), far, far, F.lit(" It was read on "), day, F.lit(".")))
+    said = said.when(p == "5-LOW", F.concat(F.lit("A webinar on what firms must do is held on "), day, F.lit("."))).otherwise(F.concat(F.lit("At the hearing: firms must comply no later than "), day, F.lit(".")))
+    said = F.concat(said, far, far, F.lit(" Signed on 1997-01-01."))
+    found = dates.near_deadlines(said, F.lit(None).cast("date"), "1996-06-01")
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(F.transform(found, lambda x: x.cast("string")), ",").alias("days"))

@@ -67,6 +67,12 @@ def test_dates_of_many_languages(spark):
     assert spark.range(1).select(dates.upcoming(some, "2024-02-01", 3).alias("v")).first()["v"] == [dt.date(2024, 3, 1), dt.date(2024, 5, 1), dt.date(2023, 1, 1)]
 
 
+def test_near_deadlines(spark):
+    texts = ["Firms shall report. First by 1 June 2024, then by 2024-07-01.", "A workshop on 2024-06-01 on what firms must do.", "x" * 120 + " 2024-06-01", "must" + " " * 120 + "2024-06-01", "must by 2024-05-05 and 2030-01-01 and 2024-05-20", "", None]
+    got = values(spark, texts, lambda c: dates.near_deadlines(c, F.lit("2024-05-05").cast("date"), "2024-05-01"))
+    assert got == [[dt.date(2024, 6, 1), dt.date(2024, 7, 1)], [], [], [], [dt.date(2024, 5, 20)], [], None]
+
+
 def test_signals(spark):
     assert values(spark, ["Law No. 12/2026 passed", "Décision sur la loi n° 12/2026", "Loi 12", "", None], signals.numbered_text) == [True, False, False, False, None]
     assert values(spark, ["the law was published today", "published in the Official Journal, at a webinar", "a report was published"], lambda c: signals.publication(c, dates.OCCASION)) == [True, False, False]
