@@ -37,7 +37,7 @@ from .common import Scratch, components, plain, rows, set_key, shingle_set, utf8
 FREQUENT = 100_000
 #: Rows of a token's list above which it is split, each part with a leader of its own.
 LONG = 50_000
-_SLICE = 4_000_000
+_SLICE = 2_000_000
 
 
 def _tokens(text: str | None, k: int) -> np.ndarray:
