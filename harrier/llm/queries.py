@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, jaccard, language, licences, packing, quality, sharding, substring
+from . import bpe, chat, fingerprint, jaccard, language, licences, packing, pieces, quality, sharding, substring
 
 
 def tokenizer_path(spark: SparkSession, name: str) -> str:
@@ -81,6 +81,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path(spark, "piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_language_id,
@@ -93,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_sharding,
         op9_fingerprints,
         op10_quality_rules,
+        op13_sentencepiece,
     ]
     return {f.__name__: f for f in found}
 
