@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, jaccard, language, licences, packing, pieces, quality, sharding, substring
+from . import bpe, chat, fingerprint, jaccard, language, licences, negatives, packing, pieces, quality, sharding, spelling, substring
 
 
 def tokenizer_path(spark: SparkSession, name: str) -> str:
@@ -81,6 +81,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    label = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(negatives.usable(table(spark, sf_dir, "embeddings"), vec_id, label, F.col("embedding")), F.col("id") % 100 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path(spark, "piece_bpe_32k.model")
     coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), path), path)
@@ -100,10 +110,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_sharding,
         op9_fingerprints,
         op10_quality_rules,
+        op11_hard_negatives,
+        op12_spelling_variants,
         op13_sentencepiece,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": chat.ORACLE, "op6_licence_scan": licences.ORACLE}
+    return {"op2_chat_formatting": chat.ORACLE, "op6_licence_scan": licences.ORACLE, "op11_hard_negatives": negatives.ORACLE}
