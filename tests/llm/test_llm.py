@@ -379,6 +379,21 @@ def test_fingerprints(spark, odd, sf_dir, whole):
         if len(a) > 100:
             off.append(abs(len(a & b) / len(a | b) - prints[d]["near_edited"]))
     assert sum(off) / len(off) < 0.03
+    # of every document, short ones too: within five standard deviations of the sampling, and without bias
+    signed = []
+    for i, d in enumerate(order):
+        t, following = text[d] or "", text[order[(i + 1) % len(order)]] or ""
+        own, edit = brute.shingles(t), brute.shingles(t[: len(t) - len(t) // 3] + following[: len(t) // 3])
+        for other, said in ((edit, prints[d]["near_edited"]), (brute.shingles(following), prints[d]["near_next"])):
+            n = len(own | other)
+            likeness = len(own & other) / n if n else 1.0
+            kept = n / (fingerprint.FRACTION - 1)
+            assert abs(said - likeness) <= 5 * math.sqrt(likeness * (1 - likeness) / max(kept, 1)) + 5 / max(kept, 1) * (0 < likeness < 1), (d, likeness, said)
+            signed.append(said - likeness)
+    assert abs(sum(signed) / len(signed)) < 0.005
+    for d, x in prints.items():
+        for printed in (x["fingerprint"], x["edited_fingerprint"]):
+            assert str(fingerprint.Sketch.parse(printed)) == printed
     small, large = fingerprint.Sketch.of(" ".join(vocabulary()[:100])), fingerprint.Sketch.of(" ".join(vocabulary()))
     assert small.contained(large) == 1.0 and small.union(large).kept.tolist() == large.kept.tolist()
     few = [fingerprint.Sketch.of(f"{w} one two", fraction=1 << 40) for w in "abc"]
