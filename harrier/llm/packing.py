@@ -181,8 +181,7 @@ def pack(pieces: DataFrame, buckets: int, capacity: int = CAPACITY) -> DataFrame
     by_class = Window.partitionBy("bucket", "length")
     # equal rows differ in where they were read
     part = pieces.withColumn("row", F.monotonically_increasing_id()).withColumn("bucket", F.pmod(F.xxhash64(*place), F.lit(buckets)))
-    # a task holds about sixteen buckets, whatever the number of shuffle partitions set
-    part = part.repartition(buckets // 16, "bucket") if buckets // 16 > int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")) else part.repartition("bucket")
+    part = part.repartition("bucket")
     part = part.withColumn("k", F.floor(F.lit(capacity) / F.col("length")))
     part = part.withColumn("nth", F.row_number().over(by_class.orderBy(*place)) - 1).withColumn("in_class", F.count("*").over(by_class))
     part = part.withColumn("bin", F.floor(F.col("nth") / F.col("k")))
