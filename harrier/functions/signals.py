@@ -24,29 +24,37 @@ def abroad(zone: Column, text: Column, europe: list[str], europe_named: str, els
     return (~F.coalesce(zone.isin(europe), F.lit(False)) | F.rlike(text, F.lit(elsewhere_named))) & ~F.rlike(text, F.lit(europe_named))
 
 
-#: Kinds of texts that carry a number, and words of an authority's own decisions.
-KINDS = r"(?:decree|decret|decreto|law|loi|ley|legge|gesetz|act|regulation|reglement|verordnung|directive|richtlinie|ordonnance|ustawa)"
-DECIDED = r"(?:decision|deliberation|resolution|beschluss|provvedimento|sanction|amende|fine\b)"
+#: Stems of the kinds of legal texts, and of the words for what an authority decides in a single case.
+LEGAL = "law act regulation directive decree ordinance loi decret reglement ordonnance ley decreto reglamento legge regolamento gesetz verordnung richtlinie ustaw rozporzadz zakon wet lag forordning lov laki asetus torveny".split()
+RULED = "decision deliberat resolution resolucion beschluss bescheid provvediment sanction amende fine order".split()
+_KIND = rf"\b(?:{'|'.join(LEGAL)})\w{{0,4}}"
+_YEAR = r"(?:19|20)\d\d\b"
+#: What may stand between kind and number: bracketed letters and a word for "number".
+_TO_NUMBER = r"\W*(?:\(\w+\)\W*)?(?:n\w{0,2}\W*)?"
+_NUMBERED = rf"{_KIND}{_TO_NUMBER}\d{{1,5}}\s?[/-]\s?{_YEAR}"
+_DATED = rf"{_KIND}\W+(?:\w{{1,4}}\W+){{1,2}}\d{{1,2}}\.?\s\w+\s{_YEAR}"
 
 
 def numbered_text(c: Column, before: int = 40) -> Column:
-    """Whether a text cites a law by number and year ("Act No. 12/2026") and not an authority's decision: none of its words
-    in the ``before`` characters in front or in the citation."""
-    cited = rf"\b{KINDS}\s*(?:\((?:eu|ue)\)\s*)?(?:no\.?|n°|nr\.?)?\s*\d{{1,5}}\s*[/-]\s*(?:19|20)\d{{2}}\b"
-    found = F.regexp_extract(F.lower(strip_marks(c)), rf"(?s)(.{{0,{before}}}{cited})", 1)
-    return (found != "") & ~F.rlike(found, F.lit(DECIDED))
+    """Whether a text cites a law by number and year ("Act No. 12/2026") or by its day ("Loi du 3 mars 2026"). A citation with a
+    word of an authority's ruling in it, or in the ``before`` characters in front, does not count; another one still does."""
+    cited = F.regexp_extract_all(F.lower(strip_marks(c)), F.lit(rf"(?s).{{0,{before}}}?(?:{_NUMBERED}|{_DATED})"), F.lit(0))
+    return F.exists(cited, lambda x: ~F.rlike(x, F.lit(rf"\b(?:{'|'.join(RULED)})")))
 
 
-#: Journals and words of a publication.
-GAZETTE = r"(?:journal officiel|official journal|gazzetta ufficiale|bundesgesetzblatt|dziennik ustaw|staatsblad)"
-PUBLISHED = r"(?:published|publie|publication|veroffentlicht|pubblicat[oa]|opublikowan)"
+#: Names of official journals, and stems of "to publish".
+JOURNALS = ["official journal", "journal officiel", "official gazette", "gazzetta ufficiale", "boletin oficial", "bundesgesetzblatt", "staatsblad", "dziennik ustaw", "diario da republica", "sbirka zakonu", "magyar kozlony"]
+PUBLISH = "publi publik opublik veroffentlich pubblic parution kihirdet julkais".split()
+_PUBLISH = rf"\b(?:{'|'.join(PUBLISH)})\w*"
 
 
 def publication(near: Column, occasion: str) -> Column:
-    """Whether the words around a date say that a legal text is published, and not that an event takes place."""
+    """Whether the words around a date say that a legal text is published, and not that an event takes place: a journal is
+    named, or a kind of text and "publish" stand at most eight words apart, whichever comes first."""
     t = F.lower(strip_marks(near))
-    said = rf"{GAZETTE}|\b{KINDS}\b.{{0,60}}\b{PUBLISHED}|\b{PUBLISHED}\b.{{0,40}}\b{KINDS}\b"
-    return F.rlike(t, F.lit(f"(?s){said}")) & ~F.rlike(t, F.lit(occasion))
+    apart = r"(?:\W+\w+){0,8}\W+"
+    told = F.exists(F.array(*map(F.lit, JOURNALS)), lambda j: F.contains(t, j)) | F.rlike(t, F.lit(f"{_KIND}{apart}{_PUBLISH}|{_PUBLISH}{apart}{_KIND}"))
+    return told & ~F.rlike(t, F.lit(occasion))
 
 
 def concerned(sentences: Column, anchors: dict[str, str], near: Column, sure: float = 0.9, likely: float = 0.7) -> Column:

@@ -71,20 +71,28 @@ def snippet(c: Column, start: Column, length: int, around: int = 90) -> Column:
     return F.trim(F.regexp_replace(part, r"\s+", " "))
 
 
-#: What stands before a title on link texts, and titles that say nothing.
-LEAD_IN = r"(?i)^(read more( about)?|learn more( about)?|lire la suite|en savoir plus( sur)?|mehr erfahren( zu[mr]?)?|weiterlesen|download|télécharger)\s*[:–—-]?\s*"
-EMPTY_TITLE = r"(?i)^(read more|more|details?|download|pdf|html|link|here|ici|voir|see|view|news|publication|documents?|(le|la|les|the) (report|rapport|document|guide|annexe?s?))\W*$|^[\w. -]+\.(pdf|xlsx?|docx?|csv|zip|xml)$"
+#: Words that lead to a text without naming it, and nouns that name any text.
+LEADING = "about additional continue czytaj dalej details download en erfahren full information learn la leer leggi lees lire mas meer mehr more on over plus read savoir see sobre su suite sur the tutto view voir weiterlesen wiecej zu zum zur".split()
+ANY_TEXT = "a annex annexe article communique decision document documents file guide here html ici le les link lien news page pdf press publication rapport release report summary".split()
+_LEAD = "|".join(LEADING)
+#: A bag of leading words at the start: two and more, or one in front of a colon or dash. Which words, and in what order, is left open.
+_LED = rf"(?iu)^(?:(?:(?:{_LEAD})\b\s*){{2,}}[:»›–—-]*|(?:{_LEAD}|download|telecharger|télécharger)\s*[:»›–—-]+)\s*"
+_SAYS_NOTHING = rf"(?i)^\W*(?:\b(?:{_LEAD}|{'|'.join(ANY_TEXT)})\b\W*)+$"
+#: One token with an ending or underscores: the name of a file.
+_FILE_NAME = r"^\S+(?:\.\w{2,5}|_\S*)$"
+_SIZE = r"(?i)\s*[(\[][^()\[\]]*\d\s*[kmg]i?[bo][)\]]\s*$"
+LEAST_TITLE = 12
 
 
 def clean_title(title: Column, url: Column) -> Column:
-    """A title without catalogue number, file size and lead-in; one that says nothing or is too short gives way to the
-    words of the URL."""
-    t = F.trim(F.regexp_replace(unescape(unescape(title)), r"\s+", " "))
-    t = F.regexp_replace(t, r"^CELEX:\S+:\s*", "")
-    t = F.regexp_replace(t, r"(?i)\s*[(\[]\s*(pdf|xlsx|docx)?\s*[-–,]?\s*[\d.,]+\s*(kb|ko|mb|mo)\s*[)\]]$", "")
-    bare = F.regexp_replace(t, LEAD_IN, "")
-    t = F.when(F.length(bare) >= 12, bare).otherwise(t)
-    return F.when(F.rlike(t, F.lit(EMPTY_TITLE)) | (F.length(t) < 12), F.coalesce(slug_title(url), F.lit(""))).otherwise(t)
+    """A title without catalogue number, file size and leading words. One that names nothing, is a file's name or is shorter
+    than twelve characters gives way to the words of the URL."""
+    spaced = F.trim(F.regexp_replace(unescape(unescape(title)), r"\s+", " "))
+    named = F.regexp_replace(F.regexp_replace(spaced, r"^CELEX:\S+\s+", ""), _SIZE, "")
+    rest = F.regexp_replace(named, _LED, "")
+    shown = F.when(F.length(rest) < LEAST_TITLE, named).otherwise(rest)
+    poor = (F.length(shown) < LEAST_TITLE) | F.rlike(shown, F.lit(_FILE_NAME)) | F.rlike(strip_marks(shown), F.lit(_SAYS_NOTHING))
+    return F.when(poor, F.coalesce(slug_title(url), F.lit(""))).otherwise(shown)
 
 
 def shown_amount(euros: Column, lang: str = "en") -> Column:
@@ -100,13 +108,24 @@ def shown_amount(euros: Column, lang: str = "en") -> Column:
     return F.coalesce(*[F.when(euros >= least, say(n, en, fr)) for least, n, en, fr in steps])
 
 
+def _parameter(url: Column, names: list[str]) -> Column:
+    """The value of the first of a URL's parameters that has one of these names."""
+    query = F.split(F.substring_index(F.regexp_extract(url, r"\?(.*)$", 1), "#", 1), "&")
+    return F.get(F.filter(F.transform(query, lambda p: F.when(F.split_part(p, F.lit("="), F.lit(1)).isin(names), F.regexp_replace(p, "^[^=]*=", ""))), lambda v: v.isNotNull()), F.lit(0))
+
+
 def unwrap(url: Column) -> Column:
-    """The address behind the protected links of mail filters."""
-    inner = F.nullif(F.regexp_extract(url, r"^https?://urldefense(?:\.proofpoint)?\.com/v3/__(.+?)__;", 1), F.lit(""))
-    inner = F.replace(F.replace(F.replace(inner, F.lit("*21"), F.lit("!")), F.lit("*2A"), F.lit("*")), F.lit("**"), F.lit("*"))
-    second = F.nullif(F.regexp_extract(url, r"^https?://urldefense[^/]*/v2/[^?]*\?(?:.*&)?u=([^&]+)", 1), F.lit(""))
-    safe = F.nullif(F.regexp_extract(url, r"^https?://[^/]*safelinks\.protection\.outlook\.com/[^?]*\?(?:.*&)?(?:url|u|target)=([^&]+)", 1), F.lit(""))
-    return F.coalesce(inner, F.try_url_decode(F.translate(second, "-_", "%/")), F.try_url_decode(safe), F.trim(url))
+    """The address behind the protected links of mail filters, by the filter's host: one quotes it in its path, with an
+    asterisk and two hex digits for a character; one writes its percent signs and slashes as hyphens and underscores; one
+    has it as a parameter."""
+    host = F.lower(F.regexp_extract(url, r"^\s*https?://([^/?#]+)", 1))
+    quoted = F.nullif(F.regexp_extract(url, "/v3/__(.*?)__;", 1), F.lit(""))
+    starred = F.regexp_replace(F.regexp_replace(quoted, "([%+])", "*25$1"), r"\*25\+", "*2B")
+    starred = F.try_url_decode(F.regexp_replace(F.regexp_replace(starred, r"\*25%", "%25"), r"\*([0-9A-Fa-f]{2})", "%$1"))
+    hyphened = F.try_url_decode(F.translate(_parameter(url, ["u"]), "-_", "%/"))
+    held = F.try_url_decode(_parameter(url, ["url", "u", "target"]))
+    inner = F.when(host.startswith("urldefense"), F.coalesce(starred, F.when(F.contains(url, F.lit("/v2/")), hyphened))).when(host.endswith("safelinks.protection.outlook.com"), held)
+    return F.coalesce(inner, F.trim(url))
 
 
 def displayed(original: Column, lang: Column, translated: Column, wanted: str) -> Column:
@@ -131,10 +150,14 @@ def quoted_in(quote: Column, text: Column, least: int = 25) -> Column:
     return (F.length(said) >= least) & F.contains(_plain_quotes(text), said)
 
 
+#: Words in front of a writer's name.
+BY = "By Par Von Av Door Por Di Da".split()
+_SIGNED = rf" (?i:{'|'.join(BY)})(?: \p{{Lu}}[\p{{L}}'’-]+){{2}} (?=\d)"
+
+
 def before_byline(title: Column) -> Column:
-    """A title up to the signature or reading time that some feeds glue to it."""
-    signed = r"\s(?:[Bb]y|[Pp]ar|[Vv]on|[Aa]v|[Dd]oor|[Pp]or|[Dd]i)\s+\p{Lu}[\p{L}-]+\s+\p{Lu}[\p{L}-]+\s+\d.*$"
-    return F.regexp_replace(F.regexp_replace(title, signed, ""), r"\s\d{1,2} min\b.*$", "")
+    """A title up to the writer's name with a number behind it, or to the minutes of reading, that some feeds glue to it."""
+    return F.get(F.split(title, rf"{_SIGNED}| (?=\d{{1,2}} min\b)", 2), F.lit(0))
 
 
 def name_terms(c: Column) -> Column:
@@ -171,13 +194,17 @@ def domain(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.try_parse_url(c, F.lit("HOST"))), r"^www\.", "")
 
 
+#: Tokens of addresses that are no words: long numbers and hex.
+_NO_WORD = "^(?:[0-9]{5,}|[0-9a-f]{8,})$"
+
+
 def slug_title(c: Column) -> Column:
-    """A title from the last part of a URL's path: long numbers and hex go, three words are needed."""
-    path = F.try_url_decode(F.regexp_replace(F.try_parse_url(c, F.lit("PATH")), "/+$", ""))
-    last = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?i)\.(pdf|html?|aspx|php|xlsx?|docx?)$", "")
-    words = F.filter(F.split(last, r"[-_+.\s]+"), lambda w: (w != "") & ~F.rlike(w, F.lit("^([0-9]{5,}|[0-9a-f]{8,})$")))
-    title = F.array_join(words, " ")
-    return F.when(F.size(words) >= 3, F.concat(F.upper(F.substring(title, 1, 1)), F.substring(title, 2, 1 << 30)))
+    """A title from the last part of a URL's path; at least three words are needed."""
+    last = F.try_url_decode(F.regexp_extract(c, r"^[^?#]*?([^/?#]*)/*(?:[?#].*)?$", 1))
+    tokens_ = F.regexp_extract_all(F.regexp_replace(last, r"\.[A-Za-z]\w{1,4}$", ""), F.lit(r"[^\s._+-]+"), F.lit(0))
+    words = F.filter(tokens_, lambda w: ~F.rlike(w, F.lit(_NO_WORD)))
+    said = F.array_join(words, " ")
+    return F.when(F.size(words) > 2, F.overlay(said, F.upper(F.left(said, F.lit(1))), 1, 1))
 
 
 #: How much longer a translation may be, how often a fragment may follow itself, and the least share of distinct words.

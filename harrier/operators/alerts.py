@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import Scratch
 from .lifecycle import names_in_longer, sigla_of_names
 
 #: Days a key point stays active, days a late publication counts from, articles and links it lists at most.
@@ -67,30 +67,37 @@ def emerging_names(terms: DataFrame, document: str) -> DataFrame:
     names, sigla = seen.where(~F.col("is_siglum")), seen.where("is_siglum")
     pairs = sigla_of_names(sigla.select(document, F.col("term").alias("siglum")), names.select(document, F.col("term").alias("name")), document, 3)
     alias = pairs.groupBy("siglum").agg(F.max_by("name", F.struct("shared", "name")).alias("name"))
-    alias = cut(alias)
-    merged = cut(seen.join(alias.withColumnRenamed("siglum", "term"), "term", "left").withColumn("name", F.coalesce("name", "term")))
+    scratch = Scratch(terms.sparkSession)
+    alias = scratch.write(alias)
+    merged = scratch.write(seen.join(alias.withColumnRenamed("siglum", "term"), "term", "left").withColumn("name", F.coalesce("name", "term")))
     g = merged.groupBy("name").agg(
         F.countDistinct(document).alias("articles"), F.countDistinct("source").alias("sources"), F.bool_or("official").alias("official"),
         F.bool_or("signal").alias("signal"), F.countDistinct(F.when(F.col("keyed"), F.col(document))).alias("keyed"),
     )
     enough = (F.col("articles") >= MANY) | ((F.col("articles") >= FEW) & F.col("official"))
     kept = g.where(enough & (F.col("sources") >= SOURCES) & F.col("signal") & (2 * F.col("keyed") <= F.col("articles")))
-    kept = cut(kept)
+    kept = scratch.write(kept)
     held = merged.join(kept.select("name"), "name", "left_semi").select(document, "name").distinct()
     inside = names_in_longer(held, document).select("name", "longer")
     kept = greedy_longest(kept.select("name", "articles"), inside)
     shown = alias.groupBy("name").agg(F.min("siglum").alias("siglum"))
-    return kept.join(shown, "name", "left").select("name", "siglum", "articles")
-
-
-def greedy_longest(names: DataFrame, inside: DataFrame, most_words: int = 6) -> DataFrame:
-    """The names that no kept longer one (``inside``: name, longer) takes in: settled by number of words, the most first.
-    Names of more than ``most_words`` words are settled together with those of ``most_words``."""
-    words = F.least(F.size(F.split("name", " ")), F.lit(most_words))
-    left = names.withColumn("_w", words)
-    left, inside = cut(left), cut(inside)
-    kept = left.where(F.col("_w") == most_words)
-    for w in range(most_words - 1, 0, -1):
-        taken = inside.join(kept.select(F.col("name").alias("longer")), "longer", "left_semi").select("name").distinct()
-        kept = cut(kept.unionByName(left.where(F.col("_w") == w).join(taken, "name", "left_anti")))
+    out = scratch.write(kept.join(shown, "name", "left").select("name", "siglum", "articles"))
+    scratch.leave(out)
+    return out
+
+
+def greedy_longest(names: DataFrame, inside: DataFrame) -> DataFrame:
+    """The names that no kept longer one (``inside``: name, longer) takes in: settled by number of words, the most first,
+    once for each number that occurs."""
+    scratch = Scratch(names.sparkSession)
+    left, inside = scratch.write(names.withColumn("_w", F.size(F.split("name", " ")))), scratch.write(inside)
+    sizes = sorted((r[0] for r in left.select("_w").distinct().collect()), reverse=True)  # numbers of words, not names
+    kept = left.where("false")
+    for size in sizes:
+        now = left.where(F.col("_w") == size)
+        if size != sizes[0]:
+            taken = inside.join(kept.select(F.col("name").alias("longer")), "longer", "left_semi").select("name").distinct()
+            now = now.join(taken, "name", "left_anti")
+        kept = scratch.write(kept.unionByName(now))
+    scratch.leave(kept)
     return kept.drop("_w")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import Scratch
 
 
 def greedy_groups(df: DataFrame, identity: str, source: str, keys: str, order: list[str]) -> DataFrame:
@@ -19,22 +19,27 @@ def greedy_groups(df: DataFrame, identity: str, source: str, keys: str, order: l
     free has no earlier unsettled row. The first unsettled row always is, so the rounds end; there are as many as the longest
     chain of rows that wait for one another. Each round joins and combines by key, no key's rows are gathered.
     """
-    rows = cut(df.select(F.col(identity).alias("id"), F.col(source).alias("src"), F.struct(*order, identity).alias("o"), F.array_distinct(F.array_compact(keys)).alias("keys")))
-    left = cut(rows.select("id", "src", "o", F.posexplode("keys").alias("pos", "key")))
-    owned = cut(left.select("key", F.col("id").alias("leader"), F.col("src").alias("l_src")).limit(0))
+    scratch = Scratch(df.sparkSession)
+    rows = scratch.write(df.select(F.col(identity).alias("id"), F.col(source).alias("src"), F.struct(*order, identity).alias("o"), F.array_distinct(F.array_compact(keys)).alias("keys")))
+    left = scratch.write(rows.select("id", "src", "o", F.posexplode("keys").alias("pos", "key")))
+    owned = scratch.write(left.select("key", F.col("id").alias("leader"), F.col("src").alias("l_src")).limit(0))
     found = rows.select("id", F.lit(None).cast(df.schema[identity].dataType).alias("leader")).limit(0)
     while not left.isEmpty():
-        seen = cut(left.join(owned, "key", "left").withColumn("foreign", F.col("leader").isNotNull() & ~F.col("src").eqNullSafe(F.col("l_src"))))
-        bound = seen.groupBy("id").agg(F.bool_or("foreign").alias("copy"))
-        seen = cut(seen.join(bound, "id"))
+        before = [left, owned, found]
+        told = scratch.write(left.join(owned, "key", "left").withColumn("foreign", F.col("leader").isNotNull() & ~F.col("src").eqNullSafe(F.col("l_src"))))
+        bound = told.groupBy("id").agg(F.bool_or("foreign").alias("copy"))
+        seen = known = scratch.write(told.join(bound, "id"))
         # copies own nothing, so no row waits for them; a copy itself waits for its keys in front of the one it knows of
         front = seen.where("leader is null and not copy").groupBy("key").agg(F.min("o").alias("first"))
         waits = seen.where("leader is null").join(front, "key").where(F.col("first") < F.col("o")).groupBy("id").agg(F.min("pos").alias("wait"))
         seen = seen.join(waits, "id", "left")
-        settled = cut(seen.groupBy("id", "copy", "wait").agg(F.min(F.when(F.col("foreign"), F.struct("pos", "leader"))).alias("best")))
+        settled = scratch.write(seen.groupBy("id", "copy", "wait").agg(F.min(F.when(F.col("foreign"), F.struct("pos", "leader"))).alias("best")))
         done = settled.where(F.when(F.col("copy"), F.col("wait").isNull() | (F.col("wait") > F.col("best.pos"))).otherwise(F.col("wait").isNull()))
-        found = cut(found.union(done.where("copy").select("id", F.col("best.leader").alias("leader"))))
+        found = scratch.write(found.union(done.where("copy").select("id", F.col("best.leader").alias("leader"))))
         fresh = seen.where("leader is null").join(done.where("not copy").select("id"), "id", "left_semi")
-        owned = cut(owned.union(fresh.select("key", F.col("id").alias("leader"), F.col("src").alias("l_src"))))
-        left = cut(left.join(done.select("id"), "id", "left_anti").select("id", "src", "o", "pos", "key"))
-    return rows.select(F.col("id").alias(identity)).join(found.withColumnRenamed("id", identity), identity, "left")
+        owned = scratch.write(owned.union(fresh.select("key", F.col("id").alias("leader"), F.col("src").alias("l_src"))))
+        left = scratch.write(left.join(done.select("id"), "id", "left_anti").select("id", "src", "o", "pos", "key"))
+        scratch.empty(*before, told, known, settled)
+    out = scratch.write(rows.select(F.col("id").alias(identity)).join(found.withColumnRenamed("id", identity), identity, "left"))
+    scratch.leave(out)
+    return out

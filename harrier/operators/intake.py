@@ -10,8 +10,8 @@ from ..sources.feeds import resolve
 
 #: Days a first visit looks back, and days an item is kept.
 FIRST_VISIT, KEPT = 60, 365
-#: Endings of addresses that are no articles.
-FILES = r"(?i)\.(jpe?g|png|gif|svg|webp|zip|mp[34]|css|js|ics|xlsx?|docx?|csv|xml|json|pptx?|rtf|txt)$"
+#: Endings of addresses that are pages to read; others are files.
+PAGES = "asp aspx cfm do htm html jsf jsp pdf php shtml xhtml".split()
 
 
 def admitted(items: DataFrame, seen: DataFrame, visited: DataFrame, key: str, origin: str, day: str, floor: str, as_of: str) -> DataFrame:
@@ -50,6 +50,12 @@ def keyword_lists(wide: DataFrame, key: str, groups: list[str]) -> DataFrame:
     return long.groupBy("grp", "label").agg(F.array_sort(F.collect_set(F.col(key))).alias("variants"))
 
 
+def _readable(path: Column) -> Column:
+    """Whether a path ends in a page's name: without an ending, or with one of a page."""
+    ending = F.lower(F.regexp_extract(path, r"\.([A-Za-z][A-Za-z0-9]{1,4})/?$", 1))
+    return ending.isin("", *PAGES)
+
+
 def article_links(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
     """(key, link, title): the links of a page that may be articles, each once: of the same host, with a title of 25 to 260
     characters, no file, no page of its own. Scripts, styles, navigation, header, footer, forms and asides are left out."""
@@ -61,5 +67,5 @@ def article_links(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     d = d.select(key, "_url", resolve(F.col("l.href"), F.col("_url")).alias("link"), title.alias("title"))
     d = d.where(F.rlike("link", F.lit("^https?://")) & F.length("title").between(25, 260) & (domain(F.col("link")) == domain(F.col("_url"))))
     path = F.coalesce(F.try_parse_url("link", F.lit("PATH")), F.lit(""))
-    d = d.where(~path.isin("", "/") & ~F.rlike(path, F.lit(FILES)) & (normal_url(F.col("link")) != normal_url(F.col("_url"))))
+    d = d.where(~path.isin("", "/") & _readable(path) & (normal_url(F.col("link")) != normal_url(F.col("_url"))))
     return d.groupBy(key, normal_url(F.col("link")).alias("link")).agg(F.min("title").alias("title"))

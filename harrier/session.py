@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame that a loop reads again and again."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+class Scratch:
+    """Tables of one job in the shared folder. They cut the lineage and are compressed, so smaller than checkpoints."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/harrier-{uuid.uuid4().hex}"
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+        self.made = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path, self.made = f"{self.folder}/{self.made}", self.made + 1
+        df.write.option("compression", "zstd").parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(found)] = (found, path)
+        return found
+
+    def empty(self, *frames: DataFrame | None) -> None:
+        """Give the disk of tables back that nothing reads any more: an empty table takes their place."""
+        for df in frames:
+            if df is not None and id(df) in self.paths:
+                self.spark.range(0).write.mode("overwrite").parquet(self.paths.pop(id(df))[1])
+
+    def leave(self, *results: DataFrame) -> None:
+        """Empty all tables but those of the results."""
+        kept = {id(df) for df in results}
+        self.empty(*[df for df, _ in list(self.paths.values()) if id(df) not in kept])

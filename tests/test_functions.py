@@ -112,3 +112,37 @@ def test_sinks(spark, tmp_path):
     sealed = spark.createDataFrame([("text",), (None,)], "t string").select(feeds.sealed(F.col("t"), key).alias("s"))
     assert {r[0] for r in sealed.select(feeds.opened(F.col("s"), key)).collect()} == {"text", None}
     assert {r[0] for r in sealed.select(feeds.opened(F.col("s"), feeds.sealing_key("other", b"salt", 1000))).collect()} == {None}
+
+
+def test_titles_led_by_any_words(spark):
+    url = F.lit("https://x.org/a/b")
+    told = {
+        "Mehr erfahren zur Verordnung über Daten": "Verordnung über Daten",
+        "Download: The yearly overview of rules": "The yearly overview of rules",
+        "Download the yearly overview": "yearly overview",
+        "See the report": "",
+        "An overview of rules (1,5 Mo)": "An overview of rules",
+        "An overview of rules (2026)": "An overview of rules (2026)",
+        "overview_of_rules_2026": "",
+        "More rules for makers of toys": "More rules for makers of toys",
+    }
+    assert values(spark, list(told), lambda c: T.clean_title(c, url)) == list(told.values())
+
+
+def test_unwrap_more(spark):
+    links = ["https://urldefense.com/v3/__https://a.org/?a=1&b=50*25*2Bc__;Kys!!x", "https://nam.safelinks.protection.outlook.com/?data=1&target=https%3A%2F%2Fa.org%2F%3Fq%3D1%26r%3D2#x", "https://urldefense.com/v9/none", "https://a.org/?url=https%3A%2F%2Fb.org"]
+    assert values(spark, links, T.unwrap) == ["https://a.org/?a=1&b=50%+c", "https://a.org/?q=1&r=2", links[2], links[3]]
+
+
+def test_citations(spark):
+    told = {"Loi du 3 mars 2026 sur les jeux": True, "The Regulation (EU) 2026/1234 applies": False, "Directive 12/2026": True, "decision on law 1/2026. And then came, much later than all that, the Act no. 7/2026": True, "Gesetz vom 12. Mai 2026": True, "law 12 of 2026": False}
+    assert values(spark, list(told), signals.numbered_text) == list(told.values())
+    near = ["opublikowano w Dzienniku, ustawa wchodzi", "the bill was read", "Published today: the long awaited new act", "see the Boletín Oficial", None]
+    assert values(spark, near, lambda c: signals.publication(c, dates.OCCASION)) == [True, False, True, True, None]
+
+
+def test_general_acts_and_feeds_by_root(spark):
+    df = spark.createDataFrame([("Arrêté portant nomination",), ("Décret sur les données",), ("Avis de concours externe",), ("Décret relatif aux admissions de navires",)], "title string")
+    assert {r["title"] for r in feeds.general_acts(df, "title").collect()} == {"Décret sur les données", "Décret relatif aux admissions de navires"}
+    roots = ["<?xml version='1.0'?>\n<!-- a <rss> --><!DOCTYPE x><rdf:RDF>", "\ufeff<feed xmlns='a'>", "<html><rss></html>", "no mark"]
+    assert values(spark, roots, feeds.is_feed) == [True, True, False, False]

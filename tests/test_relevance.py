@@ -89,6 +89,14 @@ def test_greedy_longest(spark):
     assert sorted(r["name"] for r in alerts.greedy_longest(names, inside).collect()) == ["A B C D", "B C", "X"]
 
 
+def test_greedy_longest_of_any_length(spark):
+    """Names of seven and of nine words are settled in their own turns."""
+    long, seven, six = "a b c d e f g h i", "a b c d e f g", "a b c d e f"
+    names = spark.createDataFrame([(n, 1) for n in (long, seven, six, "b c", "q r s t u v w", "q r s t u v")], "name string, articles long")
+    inside = spark.createDataFrame([(seven, long), (six, seven), ("b c", six), ("q r s t u v", "q r s t u v w")], "name string, longer string")
+    assert sorted(r["name"] for r in alerts.greedy_longest(names, inside).collect()) == [six, long, "q r s t u v w"]
+
+
 def test_linked_beyond_limits(spark):
     """The latest articles of a code that has more than the limits let through, and an alert's own ones left out."""
     articles = spark.createDataFrame([(f"a{i:03}", "c", i) for i in range(200)] + [("b", None, 5)], "id string, code string, day int")
