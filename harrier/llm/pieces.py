@@ -33,7 +33,7 @@ from .common import plain, rows
 #: The character that stands for a space in pieces; fixed by the file format.
 SPACE = "▁"
 #: Bytes of fragments and ids that a Python worker remembers, counting so many for an entry besides.
-MEMO, ENTRY = 150_000_000, 160
+MEMO, ENTRY = 60_000_000, 200
 #: Symbols of a word above which it is merged with a heap; characters of texts that are encoded together.
 LONG, BLOCK = 512, 1 << 18
 _NONE = np.int64(1 << 40)
