@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch, shared_folder
+
 #: ASCII white space that separates words everywhere in this package: ``[\x20\x09-\x0D]``.
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
@@ -129,40 +128,6 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that driver and executors share. Only a local session may do without: it gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="harrier-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-class Scratch:
-    """Tables of one job in the shared folder. They cut the lineage and are compressed, so smaller than checkpoints."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.folder = f"{shared_folder(spark)}/harrier-{uuid.uuid4().hex}"
-        self.paths: dict[int, tuple[DataFrame, str]] = {}
-        self.made = 0
-
-    def write(self, df: DataFrame) -> DataFrame:
-        path, self.made = f"{self.folder}/{self.made}", self.made + 1
-        df.write.option("compression", "zstd").parquet(path)
-        found = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(found)] = (found, path)
-        return found
-
-    def empty(self, *frames: DataFrame | None) -> None:
-        """Give the disk of tables back that nothing reads any more: an empty table takes their place."""
-        for df in frames:
-            if df is not None and id(df) in self.paths:
-                self.spark.range(0).write.mode("overwrite").parquet(self.paths.pop(id(df))[1])
-
-
 def plain(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, under aliases no other column can clash with."""
     return df.select(*[F.col(f"`{n}`").alias(n) for n in names])
