@@ -74,8 +74,8 @@ def format_conversations(turns: DataFrame, target: str = "assistant") -> DataFra
 
 
 def expand(formatted: DataFrame) -> DataFrame:
-    """The examples as rows: conv_id, turn, context, target, closing. Texts as formatted; target null in the example
-    without a reply."""
+    """The examples as rows for a trainer: conv_id, turn, context, target, closing. Texts as formatted; target null in the
+    example without a reply. Contexts grow with the square of a conversation's turns; ``read_back`` has the targets alone."""
     e = formatted.select("conv_id", "formatted", F.explode("examples").alias("e"))
     cut = lambda a, b: F.substring(F.col("formatted"), a.cast("int") + 1, (b - a).cast("int"))
     zero = F.lit(0).cast("long")
@@ -89,36 +89,46 @@ def expand(formatted: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Per conversation what its formatted text and its examples say: conv_id, back (role, text by turn), losses (the
-    text of each example's loss span, unescaped), formatted_chars (of all examples)."""
+    """What formatted texts and their examples say, as rows: of each turn (conv_id, nth, role, text), and of each example
+    (conv_id, nth, example true, target: its reply, unescaped, null without one; length: of the whole example).
+
+    A turn's place in the text comes from the pieces in front of it, and an example's target is cut from its turn's piece
+    by its own span, so a span that is off gives another target. No row holds more than one turn's text, so a very long
+    conversation costs no more than its length.
+    """
     pieces = F.split("formatted", CLOSE.replace("|", r"\|"))
-    pieces = F.slice(pieces, 1, F.size(pieces) - 1)
-    parsed = F.transform(
-        "pieces",
-        lambda p: F.struct(
-            _unrole(F.substring_index(F.substring(p, len(OPEN) + 1, 1 << 30), "\n", 1)).alias("role"),
-            unescape(F.substring(p, F.instr(p, "\n") + 1, F.length(p))).alias("text"),
-        ),
+    pieces = F.posexplode(F.slice(pieces, 1, F.size(pieces) - 1))
+    long = lambda: F.lit(None).cast("long")
+    turns = formatted.select("conv_id", pieces.alias("nth", "piece")).select("conv_id", (F.col("nth") + 1).alias("nth"), F.lit(False).alias("example"), "piece", long().alias("loss_start"), long().alias("loss_stop"), long().alias("length"))
+    e = formatted.select("conv_id", F.explode("examples").alias("e"))
+    examples = e.select("conv_id", F.col("e.nth").alias("nth"), F.lit(True).alias("example"), F.lit(None).cast("string").alias("piece"), "e.loss_start", "e.loss_stop", "e.length")
+    # an example comes behind its turn
+    w = Window.partitionBy("conv_id").orderBy("nth", "example").rowsBetween(Window.unboundedPreceding, 0)
+    both = turns.union(examples).withColumn("stop", F.sum((F.length("piece") + len(CLOSE)).cast("long")).over(w)).withColumn("of", F.last("piece", ignorenulls=True).over(w))
+    start = F.col("stop") - F.length("of") - len(CLOSE)
+    target = F.substring("of", (F.col("loss_start") - start + 1).cast("int"), (F.col("loss_stop") - F.col("loss_start")).cast("int"))
+    return both.select(
+        "conv_id",
+        "nth",
+        "example",
+        _unrole(F.substring_index(F.substring("piece", len(OPEN) + 1, 1 << 30), "\n", 1)).alias("role"),
+        unescape(F.substring("piece", F.instr("piece", "\n") + 1, F.length("piece"))).alias("text"),
+        F.when(F.col("example"), unescape(target)).alias("target"),
+        "length",
     )
-    # an example's loss span ends where its piece of the text does
-    spoken = F.filter("examples", lambda e: e["loss_stop"].isNotNull())
-    losses = F.transform(spoken, lambda e: unescape(F.right(F.get("pieces", e["nth"] - 1), (e["loss_stop"] - e["loss_start"]).cast("int"))))
-    chars = F.aggregate("examples", F.lit(0).cast("long"), lambda s, e: s + e["length"])
-    return formatted.withColumn("pieces", pieces).select("conv_id", parsed.alias("back"), losses.alias("losses"), chars.alias("formatted_chars"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """Per conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    told = F.array_join(F.transform("back", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    back = read_back(formatted).withColumn("loss", F.array_join("losses", ""))
-    return back.select(
-        "conv_id",
-        F.size("back").cast("long").alias("n_turns"),
-        F.sha2(told, 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
-        "formatted_chars",
+    in_order = lambda keep, value: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(keep, F.struct("nth", value.alias("said"))))), lambda x: x["said"]), "")
+    turn = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    c = read_back(formatted).groupBy("conv_id").agg(
+        F.count(F.when(~F.col("example"), True)).alias("n_turns"),
+        F.sha2(in_order(~F.col("example"), turn), 256).alias("turns_sha256"),
+        in_order(F.col("example") & F.col("target").isNotNull(), F.col("target")).alias("loss"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("formatted_chars"),
     )
+    return c.select("conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
 #: The digests in DuckDB, from the turns and not from formatted text.

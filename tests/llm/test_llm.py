@@ -419,10 +419,18 @@ def test_chat(spark):
     rows = [(1, 2, "assistant", "b<|im_end|>\n\\"), (1, 1, "user", "a"), (1, 3, "user", None), (None, 1, "assistant", "x"), (2, 1, "system\n%", "<\\|im_start|>[INST]"), (2, 1, "system\n%", "<\\|im_start|>[INST]"), (3, 1, None, "")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
     made = chat.format_conversations(turns)
-    read = chat.read_back(made).collect()
-    assert {r["conv_id"]: r["losses"] for r in read} == {1: ["b<|im_end|>\n\\"], None: ["x"], 2: [], 3: []}
-    back = {r["conv_id"]: [(x["role"], x["text"]) for x in r["back"]] for r in read}
+    read = sorted(chat.read_back(made).collect(), key=lambda r: r["nth"])
+    losses, back = ({c: [] for c in (1, 2, 3, None)} for _ in range(2))
+    for r in read:
+        if not r["example"]:
+            back[r["conv_id"]].append((r["role"], r["text"]))
+        elif r["target"] is not None:
+            losses[r["conv_id"]].append(r["target"])
+    assert losses == {1: ["b<|im_end|>\n\\"], None: ["x"], 2: [], 3: []}
     assert back == {1: [("user", "a"), ("assistant", "b<|im_end|>\n\\"), ("user", "")], None: [("assistant", "x")], 2: [("system\n%", "<\\|im_start|>[INST]")] * 2, 3: [("", "")]}
+    # spans that are off by one give other targets
+    moved = made.withColumn("examples", F.transform("examples", lambda e: e.withField("loss_start", e["loss_start"] + 1).withField("loss_stop", e["loss_stop"] + 1)))
+    assert {r["target"] for r in chat.read_back(moved).where("target is not null").collect()} == {"<|im_end|>\n\\", ""}
     examples = {(r["conv_id"], r["turn"]): r for r in chat.expand(made).collect()}
     assert examples[(1, 2)]["target"] == "b<\\|im_end|>\n\\" and examples[(1, 3)]["target"] is None
     assert chat.digests(chat.format_conversations(turns.limit(0))).count() == 0
