@@ -28,14 +28,14 @@ def named(text: Column, rules: dict[str, str]) -> Column:
 
 #: Days of one unit of a horizon.
 UNITS = {"day": 1, "week": 7, "month": 30, "year": 365}
+HORIZON = rf"([0-9]{{1,3}}) ({'|'.join(UNITS)})s?"
 
 
 def horizon(text: Column) -> Column:
     """Days a question looks ahead or back ("3 weeks"); null where it names none."""
-    pattern = rf"([0-9]{{1,3}}) ({'|'.join(UNITS)})s?"
-    number = F.nullif(F.regexp_extract(folded(text), pattern, 1), F.lit("")).try_cast("int")
+    number = F.nullif(F.regexp_extract(folded(text), HORIZON, 1), F.lit("")).try_cast("int")
     unit = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
-    return number * F.try_element_at(unit, F.regexp_extract(folded(text), pattern, 2))
+    return number * F.try_element_at(unit, F.regexp_extract(folded(text), HORIZON, 2))
 
 
 def residual(text: Column, known: list[str]) -> Column:

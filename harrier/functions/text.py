@@ -36,7 +36,8 @@ MONTHS = {
 
 
 def strip_marks(c: Column) -> Column:
-    return F.translate(c, MARKED, BARE)
+    """Without marks. A text of as many bytes as characters has none and is left alone, as the look-up of letters is dear."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, MARKED, BARE))
 
 
 def folded(c: Column) -> Column:
