@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import initials
+from . import ranks
 
 
 def streak(df: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
@@ -72,7 +73,7 @@ def first_seen_lists(df: DataFrame, key: str, value: str, day: str) -> DataFrame
 
 def blocks(df: DataFrame, key: str, order: list[Column], size: int = 6) -> DataFrame:
     """Adds block: the rows of each key in blocks of ``size``."""
-    return df.withColumn("block", F.floor((F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1) / size))
+    return ranks.placed(df, [key], order, "_place").withColumn("block", F.floor((F.col("_place") - 1) / size)).drop("_place")
 
 
 def overlay(base: DataFrame, added: DataFrame, removed: DataFrame, key: str) -> DataFrame:

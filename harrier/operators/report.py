@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranks
+
 #: Levels and types of key points in the order they are shown.
 LEVELS = ("elevee", "moyenne", "faible", "ecarte")
 TYPES = {"echeance": 1, "adopte": 2, "signale": 2, "proposition": 3, "a_qualifier": 4}
@@ -27,7 +29,9 @@ def groups(articles: DataFrame, text: str, rest: list[str], identity: str, lead:
 
 def placed(df: DataFrame, within: list[str], orders: dict[str, list[Column]]) -> DataFrame:
     """Adds the place of each row under every order."""
-    return df.withColumns({n: F.row_number().over(Window.partitionBy(*within).orderBy(*o)) for n, o in orders.items()})
+    for name, order in orders.items():
+        df = ranks.placed(df, within, order, name)
+    return df
 
 
 def cut(df: DataFrame, order: list[Column], most: int = 350) -> DataFrame:

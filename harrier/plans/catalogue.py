@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import table
 from ..functions import text as T
-from ..operators import decide, relate, search, select, summarise
+from ..operators import decide, relate, search, select, similarity, summarise
 
 AS_OF = "2024-01-31"
 #: A closed list of codes for the fixtures' invented prose.
@@ -223,15 +223,11 @@ WITH t AS (SELECT label, list(embedding ORDER BY vec_id)[1] AS theme FROM embedd
 s AS (SELECT e.vec_id, t.label, round(list_inner_product(e.embedding::DOUBLE[], t.theme::DOUBLE[]), 6) AS score FROM embeddings e CROSS JOIN t)
 SELECT vec_id, label AS theme, score FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1""")
 def best_theme(spark, d):
-    """One theme vector a label, compared in blocks of 500, so that any number of labels will do."""
+    """One theme vector a label, compared in blocks, so that any number of labels will do."""
     e = table(spark, d, "embeddings")
-    themes = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("theme"))
-    blocks = themes.groupBy(F.pmod(F.hash("label"), F.ceil(F.lit(themes.count()) / 500).cast("int")).alias("block")).agg(F.sort_array(F.collect_list(F.struct("label", "theme"))).alias("themes"))
-    wide = lambda v: F.transform(v, lambda x: x.cast("double"))
-    dot = lambda a, b: F.round(F.aggregate(F.zip_with(wide(a), wide(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 6)
-    scores = F.transform("themes", lambda t: F.struct(dot(F.col("embedding"), t["theme"]).alias("score"), t["label"].alias("theme")))
-    best = e.crossJoin(blocks).select("vec_id", decide.best_theme(scores).alias("b")).groupBy("vec_id").agg(F.max("b").alias("b"))
-    return best.select("vec_id", (-F.col("b.back")).alias("theme"), "b.score")
+    themes = e.groupBy(F.col("label").alias("theme")).agg(F.min_by("embedding", "vec_id").alias("vector")).withColumn("weight", F.lit(1.0))
+    best = similarity.best_themes(e, ["vec_id"], "embedding", themes, 1)
+    return best.where(F.size("best") > 0).select("vec_id", F.get("best", F.lit(0))["theme"].alias("theme"), F.get("best", F.lit(0))["score"].alias("score"))
 
 
 _WORDS = f"list_filter(regexp_split_to_array(lower(translate(text, '{T.MARKED}', '{T.BARE}')), '[^a-z0-9]+'), lambda w: length(w) > 1)"

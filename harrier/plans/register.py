@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import table
-from ..operators import alerts, relate, report, select
+from ..operators import alerts, relate, report, select, versions
+from ..session import shared_folder
 from .catalogue import _days, query
 
 DAY = "1998-07-15"
@@ -37,6 +40,32 @@ def alert_windows(spark, d):
     return alerts.windows(articles(spark, d).where(_KEPT), ["text", "zone", "stage"], "detected", "published", "to_verify", "id", DAY)
 
 
+#: The runs of a month, a week apart, and the rows that ever are key points in them.
+RUNS = ["1998-06-08", "1998-06-15", "1998-06-22", "1998-06-29"]
+_SEEN = "detected BETWEEN DATE '1998-05-01' AND DATE '1998-06-29' AND level IN ('elevee', 'moyenne')"
+
+
+@query(f"""
+WITH a AS (SELECT *, ['adopte', 'a_qualifier', 'signale'][CAST(id % 3 AS INTEGER) + 1] AS kind FROM {_ARTICLES} WHERE {_SEEN}), r AS (SELECT unnest({RUNS}) AS run),
+v AS (SELECT run, a.*, CASE WHEN text IS NULL OR kind = 'a_qualifier' THEN 'art|' || id ELSE 'txt|' || text || '|' || zone || '|' || stage END AS k FROM r JOIN a ON detected <= CAST(run AS DATE)),
+g AS (SELECT run, k, arg_min(kind, (detected, id)) AS kind, any_value(text) AS text, min(zone) AS zone, min(detected) AS first_at, max(detected) AS last_at, count(*) AS n, least(min(detected), min(published) + 14) + 28 AS ends,
+  array_to_string(list(id ORDER BY published DESC, detected DESC, id DESC)[1:6], ',') AS articles FROM v GROUP BY 1, 2)
+SELECT run, kind, text, zone, first_at, last_at, n, CAST(ends AS DATE) AS ends, ends >= CAST(run AS DATE) AS active, articles FROM g""")
+def weekly_register(spark, d):
+    """Key points as each weekly run left them, read from the intervals of a register that four runs, the last one twice, wrote."""
+    kinds = F.array(*map(F.lit, ["adopte", "a_qualifier", "signale"]))
+    a = articles(spark, d).where(_SEEN).withColumn("kind", F.get(kinds, (F.col("id") % 3).cast("int"))).withColumn("version", F.col("detected").cast("string"))
+    store = versions.Store(spark, f"{shared_folder(spark)}/register-{uuid.uuid4().hex}")
+    for run in [*RUNS, RUNS[-1]]:
+        seen = a.where(F.col("detected") <= F.lit(run).cast("date"))
+        store.run(seen, seen.select("id"), run, run)
+    found = None
+    for run in RUNS:
+        one = versions.as_of(store.read(), run).select(F.lit(run).alias("run"), "kind", "text", "zone", "first_at", "last_at", "n", "ends", (F.col("ends") >= F.lit(run).cast("date")).alias("active"), F.array_join("articles", ",").alias("articles"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 _OWN = f"SELECT text || '/' || zone AS alert, id FROM {_ARTICLES} WHERE {_KEPT} QUALIFY row_number() OVER (PARTITION BY text, zone ORDER BY published DESC, id) <= 6"
 
 

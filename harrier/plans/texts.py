@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..catalog import table
 from ..functions import dates, signals
 from ..functions import text as T
-from ..operators import lifecycle, search
+from ..operators import lifecycle, relate, search, similarity
 from ..sources import feeds
 from .catalogue import _TITLE, query
 from .register import NAMED
@@ -189,15 +189,23 @@ s AS (SELECT e.vec_id, t.label AS theme, round(list_inner_product(e.embedding::D
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, theme) AS place, max(score) OVER (PARTITION BY vec_id) AS top FROM s)
 SELECT vec_id, theme, place FROM r WHERE place <= 2 AND score >= top - 0.06""")
 def top_themes(spark, d):
-    """The best theme and a second one close to it. Themes are compared in blocks of 500; a block hands on its two best."""
+    """The best theme and a second one close to it."""
     e = table(spark, d, "embeddings")
-    themes = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("theme"))
-    blocks = themes.groupBy(F.pmod(F.hash("label"), F.ceil(F.lit(themes.count()) / 500).cast("int")).alias("block")).agg(F.collect_list(F.struct("label", "theme")).alias("themes"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    scored = F.transform("themes", lambda t: F.struct((-F.round(dot(F.col("embedding"), t["theme"]) * F.when(t["label"] % 3 == 0, 0.9).otherwise(1.0), 6)).alias("back"), t["label"].alias("theme")))
-    two = e.crossJoin(blocks).select("vec_id", F.slice(F.array_sort(scored), 1, 2).alias("two")).groupBy("vec_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("two"))), 1, 2).alias("two"))
-    found = two.select("vec_id", F.posexplode("two").alias("i", "t"), F.get("two", F.lit(0))["back"].alias("top"))
-    return found.where(F.round(F.col("t.back") - F.col("top"), 6) <= 0.06).select("vec_id", F.col("t.theme").alias("theme"), (F.col("i") + 1).alias("place"))
+    themes = e.groupBy(F.col("label").alias("theme")).agg(F.min_by("embedding", "vec_id").alias("vector"))
+    themes = themes.withColumn("weight", F.when(F.col("theme") % 3 == 0, 0.9).otherwise(1.0))
+    return similarity.close_themes(similarity.best_themes(e, ["vec_id"], "embedding", themes), "vec_id").select("vec_id", "theme", "place")
+
+
+@query("""
+WITH p AS (SELECT label, embedding, CASE WHEN vec_id % 2 = 0 THEN 0.8 ELSE 1.0 END AS w FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) <= 5),
+s AS (SELECT e.vec_id // 4 AS doc, p.label AS theme, max(round(list_inner_product(e.embedding::DOUBLE[], list_transform(p.embedding, lambda x: x::DOUBLE * p.w)), 6)) AS score FROM embeddings e CROSS JOIN p GROUP BY ALL)
+SELECT doc, theme, score, row_number() OVER (PARTITION BY doc ORDER BY score DESC, theme)::INTEGER AS place FROM s QUALIFY place <= 2""")
+def document_themes(spark, d):
+    """Five phrases a theme with weights, four chunks a document: a theme scores as its best phrase in any chunk."""
+    e = table(spark, d, "embeddings")
+    phrases = relate.first_per(e, ["label"], [F.col("vec_id")], 5).select(F.col("label").alias("theme"), F.when(F.col("vec_id") % 2 == 0, 0.8).otherwise(1.0).alias("weight"), F.col("embedding").alias("vector"))
+    chunks = e.select(F.floor(F.col("vec_id") / 4).alias("doc"), "vec_id", "embedding")
+    return similarity.of_documents(similarity.best_themes(chunks, ["doc", "vec_id"], "embedding", phrases), "doc")
 
 
 @query(f"""
