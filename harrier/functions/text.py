@@ -1,4 +1,4 @@
-"""Scalar text, URL, date and amount functions as Column expressions."""
+"""Scalar text and URL functions as Column expressions."""
 
 from __future__ import annotations
 
@@ -244,43 +244,3 @@ def tokens(c: Column, stop: tuple[str, ...] = ()) -> Column:
 
 def days_since(day: Column, as_of: str) -> Column:
     return F.coalesce(F.datediff(F.lit(as_of).cast("date"), day), F.lit(99999))
-
-
-#: Rough euros for one unit of a currency.
-RATES = {"€": 1.0, "eur": 1.0, "euros": 1.0, "$": 0.92, "usd": 0.92, "£": 1.17, "gbp": 1.17, "chf": 1.05}
-_GAP = r"[\s\u00a0\u202f]?"
-_NUMBER = r"(\d{1,3}(?:[ .,\u00a0\u202f]\d{3})+(?!\d)(?:[.,]\d+)?|\d+(?:[.,]\d+)?)"
-_TIMES = r"(millions?|billions?|thousand|bn|k|m)"
-_CURRENCY = r"(€|(?<![a-z])(?:euros?|eur|usd|gbp|chf)(?![a-z])|\$|£)"
-#: Amounts with the currency behind or in front, and the groups of number, unit and currency.
-_AMOUNTS = [
-    (rf"(?<![\w.,]){_NUMBER}{_GAP}{_TIMES}?{_GAP}(?:d['’]\s?|de\s|of\s)?{_CURRENCY.replace('(?<![a-z])', '')}", (1, 2, 3)),
-    (rf"{_CURRENCY}{_GAP}{_NUMBER}(?:{_GAP}{_TIMES})?(?!\w)", (2, 3, 1)),
-]
-#: A penalty word that lies whole in the 120 characters before an amount or in the 80 behind it.
-_PENALTY = ("fine", "penalt", "sanction", "amende")
-_BEFORE = "(?<=" + "|".join(f"{w}.{{0,{120 - len(w)}}}" for w in _PENALTY) + ")"
-_BEHIND = "(?=" + "|".join(f".{{0,{80 - len(w)}}}{w}" for w in _PENALTY) + ")"
-
-
-def largest_fine(c: Column) -> Column:
-    """The largest amount, in euros, with a penalty word within 120 characters before or 80 behind it; none under 1 000."""
-    rate = F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair])
-    times = F.create_map(*[F.lit(x) for pair in {"k": 1e3, "thousand": 1e3, "m": 1e6, "million": 1e6, "millions": 1e6, "bn": 1e9, "billion": 1e9, "billions": 1e9}.items() for x in pair])
-
-    def values(amount: str, groups: tuple[int, int, int]) -> Column:
-        number, unit, currency = groups
-
-        def value(found: Column) -> Column:
-            said = F.regexp_replace(F.regexp_extract(found, f"(?i){amount}", number), r"[\u00a0\u202f]", " ")
-            grouped = F.rlike(said, F.lit(r"^\d{1,3}([ .,]\d{3})+([.,]\d+)?$"))
-            digits = F.when(grouped, F.regexp_replace(said, r"[ .,](?=\d{3}(?:[ .,]|$))", "")).otherwise(said)
-            n = F.replace(digits, F.lit(","), F.lit(".")).try_cast("double")
-            unit_of = F.coalesce(F.try_element_at(times, F.lower(F.regexp_extract(found, f"(?i){amount}", unit))), F.lit(1.0))
-            return n * unit_of * F.coalesce(F.try_element_at(rate, F.lower(F.regexp_extract(found, f"(?i){amount}", currency))), F.lit(1.0))
-
-        near = f"(?is){_BEFORE}(?>{amount})|(?>{amount}){_BEHIND}"
-        return F.transform(F.regexp_extract_all(c, F.lit(near), F.lit(0)), value)
-
-    best = F.array_max(F.filter(F.concat(*[values(*x) for x in _AMOUNTS]), lambda v: v >= 1000))
-    return F.round(best).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import table
-from ..functions import questions
+from ..functions import questions, spans
 from ..functions import text as T
 from ..operators import listing, relate
 from ..sources import files
@@ -56,10 +56,12 @@ def page_titles(spark, d):
 
 @query("""
 SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN CAST(floor(o_totalprice) AS BIGINT) * 1000
+  WHEN floor(o_totalprice) BETWEEN 2000 AND 2099 THEN NULL
   WHEN floor(o_totalprice) >= 1000 THEN CAST(floor(o_totalprice) AS BIGINT) END AS fine FROM orders""")
 def written_fines(spark, d):
     """The largest fine of a sentence made from an order, as the fixtures' prose holds none; low orders speak of a fee. By order
-    key the amount stands behind or before the penalty word, the currency behind or before the number, or a smaller amount first."""
+    key the amount stands behind or before the penalty word, the currency behind or before the number, or a smaller amount first.
+    A bare number that may be a year of this century is no amount."""
     n = F.floor("o_totalprice").cast("string")
     k = F.when(F.col("o_orderpriority") == "1-URGENT", " k").otherwise("")
     form = F.col("o_orderkey") % 4
@@ -68,7 +70,8 @@ def written_fines(spark, d):
     fined = fined.when(form == 2, F.concat(F.lit("The firm was fined EUR "), n, k, F.lit(" by the authority.")))
     fined = fined.otherwise(F.concat(F.lit("After a fine of 900 euros came one of "), n, k, F.lit(" euros.")))
     said = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit("The fee is "), n, F.lit(" euros on the firm."))).otherwise(fined)
-    return table(spark, d, "orders").select("o_orderkey", T.largest_fine(said).alias("fine"))
+    found = spans.spans(table(spark, d, "orders").select("o_orderkey", said.alias("said")), "o_orderkey", "said")
+    return spans.largest_fine(found, "o_orderkey").select("o_orderkey", "fine")
 
 
 #: Words that stand for a zone in the fixtures' invented prose.

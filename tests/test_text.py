@@ -1,6 +1,8 @@
 """Text functions on literal texts."""
 
-from harrier.functions import text as T
+from pyspark.sql import functions as F
+
+from harrier.functions import spans
 
 
 def test_largest_fine(spark):
@@ -24,5 +26,6 @@ def test_largest_fine(spark):
         "an entrepreneur 5000 fine": None,
         "": None,
     }
-    rows = spark.createDataFrame([(t,) for t in [*told, None]], "t string").select("t", T.largest_fine("t").alias("fine")).collect()
+    texts = spark.createDataFrame([(t,) for t in [*told, None]], "t string").withColumn("k", F.col("t"))
+    rows = spans.largest_fine(spans.spans(texts, "k", "t"), "k").withColumnRenamed("k", "t").collect()
     assert {r["t"]: r["fine"] for r in rows} == told | {None: None}
