@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,14 +46,26 @@ def folded(c: Column) -> Column:
     return F.lower(strip_marks(c))
 
 
-#: Named entities and what they stand for; the ampersand comes last, so that a twice written one needs two passes.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&ccedil;": "ç", "&rsquo;": "’", "&laquo;": "«", "&raquo;": "»", "&ndash;": "–", "&hellip;": "…", "&amp;": "&"}
+#: The named entities of HTML 4 and what they stand for.
+ENTITIES = {name: chr(point) for name, point in name2codepoint.items()} | {"apos": "'"}
+_ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 
 
 def unescape(c: Column) -> Column:
-    for name, to in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(to))
-    return c
+    """Named and numbered entities decoded once; unknown names and numbers of no character stay."""
+    named = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def shown(name: Column) -> Column:
+        hex_ = F.when(F.rlike(name, F.lit("^#[xX]")), F.substring(name, 3, 6)).when(name.startswith("#"), F.hex(F.substring(name, 2, 7).try_cast("long")))
+        point = F.conv(hex_, 16, 10).cast("long")
+        fits = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        return F.coalesce(F.when(fits, F.decode(F.unhex(F.lpad(hex_, 8, "0")), "UTF-32")), F.try_element_at(named, name))
+
+    # each entity that occurs is put in once, behind a mark, so that what it gives is not read as part of another
+    held = F.array_distinct(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(1)))
+    marked = F.regexp_replace(c, _ENTITY, "\x01$1;")
+    put = lambda t, n: F.replace(t, F.concat(F.lit("\x01"), n, F.lit(";")), F.coalesce(shown(n), F.concat(F.lit("&"), n, F.lit(";"))))
+    return F.when(F.contains(c, F.lit("&")), F.aggregate(held, marked, put)).otherwise(c)
 
 
 def clean(c: Column, longest: int = 400) -> Column:
@@ -141,7 +154,22 @@ def reworded(c: Column, rules: list[tuple[str, str]]) -> Column:
     return c
 
 
+#: Characters with a compatible form, by the rule that normalising gives another one: of one character, and ligatures.
+_COMPATIBLE = {chr(p): unicodedata.normalize("NFKC", chr(p)) for p in [0xAA, 0xBA, *range(0x2000, 0x2200), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)]}
+_ONE = {c: x for c, x in _COMPATIBLE.items() if len(x) == 1 and x != c}
+_SEVERAL = {c: x for c, x in _COMPATIBLE.items() if len(x) > 1 and x.isalpha()}
+
+
+def compatible(c: Column) -> Column:
+    """Ligatures, full-width letters and the like in their plain form."""
+    t = F.translate(c, "".join(_ONE), "".join(_ONE.values()))
+    for one, several in _SEVERAL.items():
+        t = F.replace(t, F.lit(one), F.lit(several))
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(t)
+
+
 def _plain_quotes(c: Column) -> Column:
+    c = compatible(c)
     return F.lower(F.trim(F.regexp_replace(F.translate(c, "’‘“”«»\u00a0\u202f\u2009", "''\"\"\"\"   "), r"\s+", " ")))
 
 

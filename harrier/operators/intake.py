@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import domain, normal_url
 from ..sources.feeds import resolve
+from ..sources.pages import page_links
 
 #: Days a first visit looks back, and days an item is kept.
 FIRST_VISIT, KEPT = 60, 365
@@ -57,15 +58,15 @@ def _readable(path: Column) -> Column:
 
 
 def article_links(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url") -> DataFrame:
-    """(key, link, title): the links of a page that may be articles, each once: of the same host, with a title of 25 to 260
-    characters, no file, no page of its own. Scripts, styles, navigation, header, footer, forms and asides are left out."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style|noscript|header|footer|nav|form|aside)\b.*?</\1>", " ")
-    pattern = r"""(?is)<a\s[^>]*?href=["']([^"'#][^"']*)["'][^>]*>(.*?)</a>"""
-    pair = F.explode(F.arrays_zip(*[F.regexp_extract_all(bare, F.lit(pattern), F.lit(i)).alias(n) for i, n in ((1, "href"), (2, "text"))])).alias("l")
-    d = pages.select(key, F.col(url).alias("_url"), pair)
-    title = F.trim(F.regexp_replace(F.regexp_replace("l.text", "<[^>]+>", " "), r"\s+", " "))
-    d = d.select(key, "_url", resolve(F.col("l.href"), F.col("_url")).alias("link"), title.alias("title"))
-    d = d.where(F.rlike("link", F.lit("^https?://")) & F.length("title").between(25, 260) & (domain(F.col("link")) == domain(F.col("_url"))))
+    """(key, link, title, day, summary): the links of a page that may be articles, each once, with the day that stands near.
+
+    An article is on the page's host, on a page of its own that is no file, and has a title of 25 to 260 characters. Menus,
+    headers, footers, forms and asides are left out."""
+    found = page_links(pages, key, html, url).withColumn("link", resolve(F.col("href"), F.col("url")))
     path = F.coalesce(F.try_parse_url("link", F.lit("PATH")), F.lit(""))
-    d = d.where(~path.isin("", "/") & _readable(path) & (normal_url(F.col("link")) != normal_url(F.col("_url"))))
-    return d.groupBy(key, normal_url(F.col("link")).alias("link")).agg(F.min("title").alias("title"))
+    elsewhere = F.col("href").startswith("#") | ~F.rlike("link", F.lit("^https?://")) | (domain(F.col("link")) != domain(F.col("url")))
+    own = normal_url(F.col("link"))
+    kept = found.where(~elsewhere & F.length("title").between(25, 260) & (F.length(F.replace(path, F.lit("/"))) > 0) & _readable(path) & (own != normal_url(F.col("url"))))
+    # the same article may stand there twice: the one with a day, then the first by title
+    best = F.min(F.struct(F.col("day").isNull().alias("undated"), "title", "day", "summary")).alias("b")
+    return kept.groupBy(key, own.alias("link")).agg(best).select(key, "link", "b.title", "b.day", "b.summary")

@@ -62,7 +62,24 @@ def article_links(spark, d):
     good = F.when(p % 2 == 0, F.concat(F.lit("<a class='x' href='item-"), p, F.lit("?utm_source=x#top'>"), title, F.lit("</a>"))).otherwise("")
     rest = F.concat(F.lit("<nav><a href='/menu'>A menu entry of this page, a long one</a></nav><a href='/doc.xlsx'>A table of this page, to be downloaded</a>"), F.lit("<a href='https://other.net/a'>A page of another host, a long title</a><a href='/short'>short</a><a href='/'>The first page of this host, a long title</a>"))
     html = F.concat(F.lit("<html>"), good, rest, good, F.lit("</html>"))
-    return intake.article_links(table(spark, d, "pages").select("page_id", base.alias("url"), html.alias("html")))
+    return intake.article_links(table(spark, d, "pages").select("page_id", base.alias("url"), html.alias("html"))).select("page_id", "link", "title")
+
+
+@query("""
+SELECT page_id, 'https://h.org/n/' || page_id AS link, CASE WHEN page_id % 3 < 2 THEN DATE '2024-01-01' + CAST(page_id % 300 AS INTEGER) END AS day,
+  CASE WHEN page_id % 3 < 2 THEN strftime(DATE '2024-01-01' + CAST(page_id % 300 AS INTEGER), '%-d %B %Y') || ' and what this news is about, in some words' END AS summary FROM pages""")
+def dated_links(spark, d):
+    """The day beside a link: as text in the second element around it, with elements left open; in a time element of the same
+    form; and none where the element around holds another link as well."""
+    p = F.col("page_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (p % 300).cast("int"))
+    link = F.concat(F.lit('<a href="/n/'), p, F.lit('">A title that is long enough for news</a>'))
+    said = F.concat(F.lit("<span>"), F.date_format(day, "d MMMM yyyy"), F.lit("</span> and what this news is about, in some words"))
+    form = F.when(p % 3 == 0, F.concat(F.lit("<ul><li><h3>"), link, F.lit("</h3><p>"), said, F.lit("<li>next</ul>")))
+    form = form.when(p % 3 == 1, F.concat(F.lit("<div><h2>"), link, F.lit("</h2><time datetime='"), day.cast("string"), F.lit("'></time>"), said, F.lit("</div>")))
+    form = form.otherwise(F.concat(F.lit("<div>"), link, F.lit("<a href='/short'>x</a>"), said, F.lit("</div>")))
+    made = table(spark, d, "pages").select("page_id", F.lit("https://h.org/").alias("url"), F.concat(F.lit("<body><nav>1 May 2020</nav>"), form).alias("html"))
+    return intake.article_links(made).select("page_id", "link", "day", "summary")
 
 
 @query(r"""

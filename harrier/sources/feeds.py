@@ -16,10 +16,13 @@ def is_feed(content: Column) -> Column:
     return F.lower(root).isin("rss", "rdf", "feed")
 
 
+def _escaped(c: Column) -> Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
 def _tag(item: Column, names: str) -> Column:
-    """The text of the first of these elements, CDATA opened."""
-    inner = F.regexp_extract(item, rf"(?is)<(?:\w+:)?(?:{names})\b[^>]*>(.*?)</(?:\w+:)?(?:{names})>", 1)
-    return F.trim(F.regexp_replace(inner, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1"))
+    """The text of the first of these elements."""
+    return F.trim(F.regexp_extract(item, rf"(?is)<(?:\w+:)?(?:{names})\b[^>]*>(.*?)</(?:\w+:)?(?:{names})>", 1))
 
 
 def read_feed(feeds: DataFrame, content: str, key: str) -> DataFrame:
@@ -29,6 +32,9 @@ def read_feed(feeds: DataFrame, content: str, key: str) -> DataFrame:
     the item they stand in.
     """
     sound = F.regexp_replace(content, r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "")
+    # what is quoted as CDATA is escaped instead, so that tags in it end no item
+    quoted = F.array_distinct(F.regexp_extract_all(sound, F.lit(r"(?s)<!\[CDATA\[.*?\]\]>"), F.lit(0)))
+    sound = F.aggregate(quoted, sound, lambda all_, q: F.replace(all_, q, _escaped(F.substring(q, F.lit(10), F.length(q) - 12))))
     items = F.regexp_extract_all(sound, F.lit(r"(?is)<(?:\w+:)?(item|entry)\b.*?</(?:\w+:)?\1>"), F.lit(0))
     i = feeds.select(key, F.explode(items).alias("item"))
     item = F.col("item")
@@ -65,10 +71,11 @@ def mail_articles(mails: DataFrame, text: str, key: str) -> DataFrame:
 
 def read_sources(spark: SparkSession, path: str, wanted: dict[str, str]) -> DataFrame:
     """A table of sources whose headers only resemble the wanted ones: a column is taken where its header, without marks and
-    case, contains the wanted word. ``urls`` cells hold several addresses; each source counts once by its first one."""
+    case, contains the wanted word; one that none resembles is null. ``urls`` cells hold several addresses; each source counts once by its first one."""
     raw = spark.read.option("header", True).option("sep", ";").csv(path)
     plain = {c: _folded(c) for c in raw.columns}
-    picked = [F.col(f"`{next(c for c in raw.columns if word in plain[c])}`").alias(name) for name, word in wanted.items()]
+    alike = {name: next((c for c in raw.columns if word in plain[c]), None) for name, word in wanted.items()}
+    picked = [(F.col(f"`{c}`") if c else F.lit(None).cast("string")).alias(name) for name, c in alike.items()]
     d = raw.select(*picked).withColumn("urls", F.filter(F.split("urls", r"[\s;,]+"), lambda u: u != ""))
     return d.withColumn("url", normal_url(F.get("urls", F.lit(0)))).where("url is not null").dropDuplicates(["url"])
 
