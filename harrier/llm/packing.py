@@ -29,7 +29,7 @@ from .common import plain, rows, utf8
 
 CAPACITY = 2048
 #: Bytes of words and their ids that a Python worker remembers, counting so many for an entry besides.
-MEMO, ENTRY = 240_000_000, 160
+MEMO, ENTRY = 80_000_000, 160
 #: Punctuation that is a token run of its own behind an ASCII letter or digit, or another letter that stays one letter.
 _TAIL = b"!.,;:?*$%&#|>"
 _encoders: dict = {}
