@@ -9,12 +9,10 @@ rows like others. What a stage does with null and empty texts, ties and repeated
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from harrier.llm import jaccard, language, packing, quality, substring
-from harrier.llm.common import shared_folder
+from harrier.llm.common import Scratch
 from harrier.llm.queries import table, tokenizer_path
 
 
@@ -68,10 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; the tables between them lie in the shared checkpoint folder."""
-    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
-        docs = spark.read.parquet(f"{base}/{name}")
+    """Apply the stages to documents. The tables between them lie in the shared checkpoint folder, each until the next is written."""
+    scratch = Scratch(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs = scratch.write(stage(spark, docs, sf_dir))
+        scratch.empty(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

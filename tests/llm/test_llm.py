@@ -543,6 +543,35 @@ def test_licence_names(spark):
     assert found == {1: ("MIT", ""), 2: ("MPL-2.0", ""), 3: ("AGPL-3.0-only", ""), 4: ("GPL-3.0-or-later", ""), 5: ("", "lgpl3-received"), 6: ("", "")}
 
 
+#: Lines and notices, and the licences they name.
+TOLD = {
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "Apache-2.0,MIT",
+    "// SPDX-License-Identifier: GPL-2.0+\n": "GPL-2.0-or-later",
+    "SPDX-License-Identifier: GPL-2.0": "GPL-2.0-only",
+    "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) AND BSD-3-Clause */": "BSD-3-Clause,GPL-2.0-only",
+    "SPDX-License-Identifier: LGPL-2.1+ OR MPL-1.1": "LGPL-2.1-or-later,MPL-1.1",
+    "SPDX-License-Identifier: Unknown-1.0": "",
+    "This project is licensed under the MIT license - see the LICENSE file for details": "MIT",
+    "# The MIT License\n\nCopyright me": "MIT",
+    "Apache License, Version 2.0": "Apache-2.0",
+    "Apache License\nVersion 2.0, January 2004": "",
+    "Released under the GPLv3.": "GPL-3.0-only",
+    "Boost Software License - Version 1.0 - August 17th, 2003": "BSL-1.0",
+    "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file)": "BSL-1.0",
+    "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0": "EPL-2.0",
+    "Licensed under the EUPL, Version 1.2 or – as soon they will be approved by\nthe European Commission - subsequent versions of the EUPL (the \"Licence\");\nYou may not use this work except in compliance with the Licence.": "EUPL-1.2",
+    "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software.": "Zlib",
+    "To the extent possible under law, Alice Person of Some Place has waived all copyright and related or neighboring rights to this work.": "CC0-1.0",
+    "we like the mit license a lot": "",
+}
+
+
+def test_licence_lines_and_expressions(spark):
+    found = {r["doc_id"]: r["licences"] for r in licences.scan(frame(spark, list(enumerate(TOLD)))).collect()}
+    assert {t: found[i] for i, t in enumerate(TOLD)} == TOLD
+    assert len(licences.SENTENCES) + len(licences.LINE) + len(licences._named()) > 200
+
+
 def test_licence_notices(spark):
     """Every rule of several sentences from its notice, plain and as a comment."""
     wanted = [(name, text) for name, text in NOTICES.items()]
@@ -556,7 +585,7 @@ def test_licence_sql_on_notices(spark, tmp_path):
     """The SQL on notices, lines and names that the fixtures do not hold."""
     import duckdb
 
-    rows = list(enumerate([*NOTICES.values(), *["# " + x.replace("\n", "\n# ") for x in NOTICES.values()], NOTICES["BSD-2-Clause"] + THIRD % "the University of\nA, B and C", "Foo\nLicensed under the Apache License, Version 2.0 (the \"License\")\nBar", "a | b |\nReleased under\n***\nthe MIT License", None, "", "MIT License. released under the MIT License. Released under the MIT License"]))
+    rows = list(enumerate([*TOLD, *NOTICES.values(), *["# " + x.replace("\n", "\n# ") for x in NOTICES.values()], NOTICES["BSD-2-Clause"] + THIRD % "the University of\nA, B and C", "Foo\nLicensed under the Apache License, Version 2.0 (the \"License\")\nBar", "a | b |\nReleased under\n***\nthe MIT License", None, "", "MIT License. released under the MIT License. Released under the MIT License"]))
     docs = frame(spark, rows)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     con = duckdb.connect()
