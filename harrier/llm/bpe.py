@@ -10,7 +10,7 @@ since Unicode 3.2, or that was added since, are encoded by the tokenizers librar
 
 Defined cases: a null or empty text has no ids and decodes to the empty text. Ids that do not form UTF-8 decode to
 replacement characters. Strings of added tokens in a text become their ids, as the library does. Very long fragments
-are merged with a heap. Repeated rows each give a row; other columns are ignored.
+are merged with a heap. Repeated rows each give a row, an empty table none; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ Every pair of different components that shares a prefix token is so compared in
 
 Defined cases: a null or empty text has no shingle, n_shingles 0, and is its own component. Repeated rows are one
 node and link. A row with null doc_id takes part; the component is named by its smallest non-null doc_id. An empty
-table gives an empty result. Other columns are ignored.
+table gives an empty result. Very long texts are taken whole: their sets are compared as others are. Other columns are ignored.
 """
 
 from __future__ import annotations

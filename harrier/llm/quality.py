@@ -4,7 +4,7 @@ Statistics are taken from whole texts inside Arrow tasks. The trees are fitted o
 documents (a documented bound, chosen by hash) and flattened to numpy node arrays, which score whole batches.
 
 Defined cases: a null or empty text has all statistics 0, fails the base rules and is not kept. Repeated rows and
-repeated doc_ids each give a row. With no labels, or labels of one kind, there is no model: the base rules decide.
+repeated doc_ids each give a row, an empty table none. Very long texts are taken whole. With no labels, or labels of one kind, there is no model: the base rules decide.
 Other columns of the input are ignored by ``score`` and kept by ``keep``.
 """
 

@@ -12,7 +12,7 @@ With no slack the capacities add up to the number of rows, so every shard ends e
 apart, whatever the keys (law ``rows``).
 
 Defined cases: a null text has no bytes and the checksum of the empty text. Rows with null doc_id are placed by their text, repeated rows
-each. An empty table gives an empty result; other columns are ignored.
+each. A very long text is one row of its size, larger than the others' as it is. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
