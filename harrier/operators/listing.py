@@ -50,3 +50,10 @@ def ranked_runs(df: DataFrame, run: str) -> DataFrame:
     """Adds rank: the place of the row's run among all runs. Only the runs themselves, a row each, are ordered."""
     runs = df.select(run).distinct()
     return df.join(runs.withColumn("rank", F.dense_rank().over(Window.orderBy(run))), run)
+
+
+def hot(df: DataFrame, key: str, day: str, base: Column, active: DataFrame, as_of: str, days: int = 183) -> DataFrame:
+    """Adds hot: rows of the last ``days``, of the base, or that ``active`` names; the others belong to the archive."""
+    held = active.select(key, F.lit(True).alias("_active")).distinct()
+    recent = F.col(day) >= F.date_sub(F.lit(as_of).cast("date"), days)
+    return df.join(held, key, "left").withColumn("hot", F.coalesce(recent | base | F.col("_active"), F.coalesce(recent, F.lit(False)) | F.coalesce(base, F.lit(False)))).drop("_active")

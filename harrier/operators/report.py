@@ -43,8 +43,8 @@ def cut(df: DataFrame, order: list[Column], most: int = 350) -> DataFrame:
 
 
 def text_summary(articles: DataFrame, text: str, zone: str, stage: str, day: str, due: str, as_of: str) -> DataFrame:
-    """Per text: zones and stages in the order first seen, articles and the next date due; texts without a name last.
-    Values are combined before they are listed, so a list is no longer than the domain of its values."""
+    """Per text: zones and stages in the order first seen, articles and the next date due; ``place`` orders texts by articles, those
+    without a name last. Values are combined before they are listed, so a list is no longer than the domain of its values."""
 
     def listed(value: str) -> DataFrame:
         one = articles.groupBy(text, value).agg(F.min(day).alias("_first"))
@@ -53,7 +53,9 @@ def text_summary(articles: DataFrame, text: str, zone: str, stage: str, day: str
 
     total = articles.groupBy(text).agg(F.count("*").alias("n"), F.min(F.when(F.col(due) >= F.lit(as_of).cast("date"), F.col(due))).alias("next_due"))
     same = lambda a, b: a.join(b.withColumnRenamed(text, "_t"), F.col(text).eqNullSafe(F.col("_t"))).drop("_t")
-    return same(same(total, listed(zone)), listed(stage))
+    found = same(same(total, listed(zone)), listed(stage))
+    unnamed = F.coalesce(F.col(text) == "", F.lit(True))
+    return found.withColumn("place", F.row_number().over(Window.orderBy(unnamed, F.desc("n"), text)))  # a row for each text
 
 
 def top_of_each(df: DataFrame, key: str, sections: dict[str, tuple[DataFrame, list[Column], Column, int]]) -> DataFrame:

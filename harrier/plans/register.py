@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..catalog import table
-from ..operators import alerts, relate, report, select, versions
+from ..operators import alerts, listing, relate, report, select, versions
 from ..session import shared_folder
 from .catalogue import _days, query
 
@@ -231,7 +231,7 @@ def stage_breakdown(spark, d):
 @query(f"""
 WITH a AS (SELECT * FROM {_ARTICLES} WHERE {_PERIOD}), z AS (SELECT text, zone, min(published) AS f FROM a GROUP BY 1, 2), s AS (SELECT text, stage, min(published) AS f FROM a GROUP BY 1, 2)
 SELECT text, count(*) AS n, min(due) FILTER (due >= DATE '{DAY}') AS next_due, (SELECT string_agg(zone, ',' ORDER BY f, zone) FROM z WHERE z.text IS NOT DISTINCT FROM a.text) AS zones,
-  (SELECT string_agg(stage, ',' ORDER BY f, stage) FROM s WHERE s.text IS NOT DISTINCT FROM a.text) AS stages FROM a GROUP BY text""")
+  (SELECT string_agg(stage, ',' ORDER BY f, stage) FROM s WHERE s.text IS NOT DISTINCT FROM a.text) AS stages, row_number() OVER (ORDER BY text IS NULL, count(*) DESC, text)::INTEGER AS place FROM a GROUP BY text""")
 def regulation_report(spark, d):
     return report.text_summary(articles(spark, d).where(_PERIOD), "text", "zone", "stage", "published", "due", DAY)
 
@@ -261,6 +261,23 @@ def discarded_list(spark, d):
     return a.orderBy(F.desc("detected"), F.desc("published"), "id").limit(4000).select("id")
 
 
+@query(f"SELECT id FROM {_ARTICLES} WHERE level = 'ecarte' ORDER BY detected DESC, published DESC, id LIMIT 8000")
+def discarded_kept(spark, d):
+    """The 8000 latest of all discarded articles, the reference size of what is kept of them."""
+    return articles(spark, d).where("level = 'ecarte'").orderBy(F.desc("detected"), F.desc("published"), "id").limit(8000).select("id")
+
+
+@query(f"""
+WITH g AS (SELECT text, zone FROM {_ARTICLES} WHERE {_KEPT} GROUP BY 1, 2 HAVING least(min(detected), min(published) + 14) + 28 >= DATE '{DAY}'), o AS ({_OWN})
+SELECT id, published >= DATE '{DAY}' - 183 OR official OR id IN (SELECT o.id FROM o JOIN g ON o.alert = g.text || '/' || g.zone) AS hot FROM {_ARTICLES}""")
+def hot_articles(spark, d):
+    """Articles that a first page loads: of the last 183 days, of the base (official here), and those of active key points."""
+    a = articles(spark, d)
+    w = alerts.windows(a.where(_KEPT), ["text", "zone"], "detected", "published", "to_verify", "id", DAY).where("active").select(F.concat_ws("/", "text", "zone").alias("alert"))
+    active = _own(a).join(w, "alert", "left_semi").select("id")
+    return listing.hot(a, "id", "published", F.col("official"), active, DAY).select("id", "hot")
+
+
 _RANK = "CASE level WHEN 'elevee' THEN 0 WHEN 'moyenne' THEN 1 WHEN 'faible' THEN 2 ELSE 3 END"
 
 
@@ -326,6 +343,13 @@ def distinct_words(spark, d):
     return c.select("conv_id", "turn", F.array_join(F.array_sort(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))), " ").alias("words"))
 
 
+@query("SELECT conv_id, turn, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i), ' ') AS words FROM (SELECT conv_id, turn, regexp_split_to_array(lower(text), '[^a-z]+') AS w FROM conversations WHERE text IS NOT NULL)")
+def words_in_order(spark, d):
+    """Each word once, where it first stands."""
+    c = table(spark, d, "conversations").where("text is not null")
+    return c.select("conv_id", "turn", F.array_join(F.array_distinct(F.split(F.lower("text"), "[^a-z]+")), " ").alias("words"))
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def registry_left(spark, d):
     """The registry without keys that are gone from the site."""
