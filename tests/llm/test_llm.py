@@ -607,6 +607,6 @@ def test_sql(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", list(ALL))
 def test_empty_tables(spark, sf_dir, tmp_path, name):
-    for t in ("documents", "labels", "conversations"):
+    for t in ("documents", "labels", "conversations", "embeddings"):
         queries.table(spark, sf_dir, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert ALL[name](spark, str(tmp_path)).count() == (1 if name == "op2_chat_formatting" else 0)
