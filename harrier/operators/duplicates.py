@@ -20,7 +20,7 @@ def greedy_groups(df: DataFrame, identity: str, source: str, keys: str, order: l
     chain of rows that wait for one another. Each round joins and combines by key, no key's rows are gathered.
     """
     scratch = Scratch(df.sparkSession)
-    rows = scratch.write(df.select(F.col(identity).alias("id"), F.col(source).alias("src"), F.struct(*order, identity).alias("o"), F.array_distinct(F.array_compact(keys)).alias("keys")))
+    rows = scratch.write(df.select(F.col(identity).alias("id"), F.col(source).alias("src"), F.struct(*dict.fromkeys([*order, identity])).alias("o"), F.array_distinct(F.array_compact(keys)).alias("keys")))
     left = scratch.write(rows.select("id", "src", "o", F.posexplode("keys").alias("pos", "key")))
     owned = scratch.write(left.select("key", F.col("id").alias("leader"), F.col("src").alias("l_src")).limit(0))
     found = rows.select("id", F.lit(None).cast(df.schema[identity].dataType).alias("leader")).limit(0)
@@ -43,3 +43,10 @@ def greedy_groups(df: DataFrame, identity: str, source: str, keys: str, order: l
     out = scratch.write(rows.select(F.col("id").alias(identity)).join(found.withColumnRenamed("id", identity), identity, "left"))
     scratch.leave(out)
     return out
+
+
+def copies(df: DataFrame, leaders: DataFrame, identity: str, source: str) -> DataFrame:
+    """(identity, copies, sources): of each leader its duplicates and the sources they come from; ``leaders`` is
+    ``greedy_groups`` of ``df``. A null source counts for none. Combined before the shuffle, so a hot leader is no long task."""
+    led = leaders.where("leader is not null").join(df.select(identity, source), identity)
+    return led.groupBy(F.col("leader").alias(identity)).agg(F.count("*").alias("copies"), F.countDistinct(source).alias("sources"))

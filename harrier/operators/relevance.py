@@ -233,3 +233,10 @@ def worth_asking(candidate: Column, new: Column) -> Column:
     likely = _is("nature", "officielle") | (F.coalesce("score", F.lit(0.0)) >= THRESHOLDS["moyenne"])
     aside = F.when(fact("noise"), fact("vulnerability") & fact("sector_named")).otherwise(likely)
     return (candidate | new) & ((F.col("level") != "ecarte") | aside) & ~_is("nature", "opinion") & ~fact("base")
+
+
+def several_sources(df: DataFrame) -> DataFrame:
+    """Adds raised: an unknown text of high level that other sources take up too, with a strong signal on a strong topic, enters
+    the essential list. Facts: essential, base, key_text, sig_fort, topic_strong; columns level, nature, copies."""
+    unknown = ~fact("essential") & ~fact("base") & ~fact("key_text") & ~_is("nature", "opinion")
+    return df.withColumn("raised", unknown & _is("level", "elevee") & (F.coalesce("copies", F.lit(0)) > 0) & fact("sig_fort") & fact("topic_strong"))

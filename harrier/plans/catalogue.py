@@ -31,13 +31,13 @@ def query(sql: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import answers, decisions, intake, register, reports, rulings, texts, watch  # noqa: F401  they register their queries
+    from . import answers, decisions, expectations, intake, register, reports, rulings, texts, watch  # noqa: F401  they register their queries
 
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import answers, decisions, intake, register, reports, rulings, texts, watch  # noqa: F401
+    from . import answers, decisions, expectations, intake, register, reports, rulings, texts, watch  # noqa: F401
 
     return dict(_sql)
 

@@ -90,10 +90,14 @@ SELECT l_orderkey, l_linenumber, CASE
   WHEN NOT excluded_sector AND central_topic AND instrument AND coalesce(ai_type IN ('texte_officiel', 'projet_consultation', 'obligation_echeance'), true) AND (stage IS NOT NULL OR sig_fort) THEN 'a_qualifier'
   END AS alert FROM g""")
 def alert_types(spark, d):
+    return alerted(situations(spark, d)).select(*_KEYS, "alert")
+
+
+def alerted(made):
+    """Situations with the type of key point each makes."""
     s = F.col("score")
-    made = situations(spark, d).withColumn("level", F.when(s >= 0.4, "elevee").when(s >= 0.2, "moyenne").otherwise("ecarte"))
-    made = made.withColumns({"essential": F.col("tier_a"), "opinion": F.col("expert")})
-    return relevance.alert_type(made).select(*_KEYS, "alert")
+    made = made.withColumn("level", F.when(s >= 0.4, "elevee").when(s >= 0.2, "moyenne").otherwise("ecarte"))
+    return relevance.alert_type(made.withColumns({"essential": F.col("tier_a"), "opinion": F.col("expert")}))
 
 
 @query(f"""

@@ -39,8 +39,9 @@ CHOICES = {
 }
 
 
-def situations(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 7919 + F.col("l_linenumber").cast("long") * 104729).alias("h"))
+def situations(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    """The situations of all lines, with ``more`` of their columns."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *more, (F.col("l_orderkey") * 7919 + F.col("l_linenumber").cast("long") * 104729).alias("h"))
     h = F.col("h")
     facts = {n: h % m < r for n, (m, r) in FACTS.items()}
     chosen = {n: F.get(F.array(*map(F.lit, values)), F.floor(h % m / each).cast("int")) for n, (m, values, each) in CHOICES.items()}
