@@ -25,3 +25,10 @@ def test_greedy_groups(spark):
     got = {r["id"]: r["leader"] for r in duplicates.greedy_groups(df, "id", "source", "keys", ["day"]).collect()}
     assert got == brute(rows)
     assert duplicates.greedy_groups(df.limit(0), "id", "source", "keys", ["day"]).count() == 0
+
+
+def test_copies(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None), (5, "c")], "id int, source string")
+    leaders = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 1), (5, None)], "id int, leader int")
+    assert [tuple(r) for r in duplicates.copies(df, leaders, "id", "source").collect()] == [(1, 3, 1)]
+    assert duplicates.copies(df, leaders.limit(0), "id", "source").count() == 0

@@ -113,3 +113,12 @@ def test_report_groups_and_cut(spark):
     cut = report.cut(a, [F.col("id")], 3).collect()
     assert [(r["id"], r["place"], r["hidden"]) for r in sorted(cut)] == [(1, 1, 1), (2, 2, 1), (3, 3, 1)]
     assert report.cut(a.limit(0), [F.col("id")]).count() == 0
+
+
+def test_several_sources(spark):
+    names = "essential base key_text sig_fort topic_strong level nature copies".split()
+    good = dict(essential=False, base=None, key_text=False, sig_fort=True, topic_strong=True, level="elevee", nature=None, copies=1)
+    changes = [{}, {"essential": True}, {"base": True}, {"key_text": True}, {"sig_fort": None}, {"topic_strong": False}, {"level": "moyenne"}, {"level": None}, {"nature": "opinion"}, {"copies": 0}, {"copies": None}]
+    schema = "i int, essential boolean, base boolean, key_text boolean, sig_fort boolean, topic_strong boolean, level string, nature string, copies int"
+    df = spark.createDataFrame([(i, *[(good | c)[n] for n in names]) for i, c in enumerate(changes)], schema)
+    assert [r["raised"] for r in relevance.several_sources(df).orderBy("i").collect()] == [True] + [False] * 10
