@@ -146,3 +146,16 @@ def test_general_acts_and_feeds_by_root(spark):
     assert {r["title"] for r in feeds.general_acts(df, "title").collect()} == {"Décret sur les données", "Décret relatif aux admissions de navires"}
     roots = ["<?xml version='1.0'?>\n<!-- a <rss> --><!DOCTYPE x><rdf:RDF>", "\ufeff<feed xmlns='a'>", "<html><rss></html>", "no mark"]
     assert values(spark, roots, feeds.is_feed) == [True, True, False, False]
+
+
+def test_titles_that_begin_with_joining_words(spark):
+    url = F.lit("https://x.org/a/some-notes-on-page-1234.html")
+    told = {
+        "Read more about: The the rules of a town": "The the rules of a town",
+        "La la rules of a town": "La la rules of a town",
+        "Les Les Les Les Les": "Les Les Les Les Les",
+        "The the read more: overview of rules": "overview of rules",
+        "Read the document": "Some notes on page 1234",
+    }
+    assert values(spark, list(told), lambda c: T.clean_title(c, url)) == list(told.values())
+    assert values(spark, ["Rules of &quot;A &amp;amp; B&quot; &#38; C"], lambda c: T.clean_title(c, url, ["amp"])) == ["Rules of &quot;A & B&quot; &#38; C"]
