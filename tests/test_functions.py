@@ -159,3 +159,14 @@ def test_titles_that_begin_with_joining_words(spark):
     }
     assert values(spark, list(told), lambda c: T.clean_title(c, url)) == list(told.values())
     assert values(spark, ["Rules of &quot;A &amp;amp; B&quot; &#38; C"], lambda c: T.clean_title(c, url, ["amp"])) == ["Rules of &quot;A & B&quot; &#38; C"]
+
+
+def test_long_numbers_in_addresses(spark):
+    told = {
+        "https://x.org/some-new-rules_of-12345-20240131.pdf/": "Some new rules of 12345",
+        "https://x.org/some-notes-on-page-20240131.html": "Some notes on page 20240131",
+        "https://x.org/new-rules-for-all-1234567": "New rules for all",
+        "https://x.org/a-page-1234567": None,
+        "https://x.org/rules-hereof-1234567-now": "Rules hereof now",
+    }
+    assert values(spark, list(told), T.slug_title) == list(told.values())
