@@ -32,8 +32,11 @@ def _pattern(form: list[str]) -> str:
     return "".join(_PARTS.get(x, x) for x in form)
 
 
+_LETTERS = sorted({w[0] for w in _NAMES})
+#: What a date begins with, a digit or the first three letters of a month's name, told by the first one: most places are passed over by it.
+_START = "(?=[0-9]|" + "|".join(f"{a}(?:{'|'.join(sorted({w[1:3] for w in _NAMES if w[0] == a}))})" for a in _LETTERS) + ")"
 #: One pass over the text; at each place the fuller form is tried first, so spans never overlap.
-_ANY = "(?<![0-9a-z])(?:" + "|".join(map(_pattern, FORMS)) + ")(?![0-9a-z])"
+_ANY = f"(?<![0-9a-z]){_START}(?:" + "|".join(map(_pattern, FORMS)) + ")(?![0-9a-z])"
 
 
 def _day(span: Column, form: list[str]) -> Column:
@@ -88,10 +91,10 @@ def near_deadlines(c: Column, own_day: Column, as_of: str, back: int = 45, ahead
     """The full dates with an obligation near, in whatever sentence, and not in a sentence on an occasion unless that has
     strong words; within a span around ``as_of``, other than the text's own day; future ones first, ``most`` at most."""
     t = folded(c)
-    # digits of other sentences are blanked, so that their dates go and distances stay
+    # digits of other sentences are blanked, so that their dates go and distances stay; one without digits has none to blank
     sentences = F.transform(
         F.split(t, r"(?<=[.!?;])(?=\s)|(?<=\n)"),
-        lambda s: F.when(F.rlike(s, F.lit(OCCASION)) & ~F.rlike(s, F.lit(STRONG)), F.translate(s, "0123456789", "##########")).otherwise(s),
+        lambda s: F.when(F.rlike(s, F.lit("[0-9]")) & F.rlike(s, F.lit(OCCASION)) & ~F.rlike(s, F.lit(STRONG)), F.translate(s, "0123456789", "##########")).otherwise(s),
     )
     spans = F.regexp_extract_all(F.array_join(sentences, ""), F.lit(_NEAR), F.lit(0))
     found = F.filter(F.flatten(F.transform(spans, all_dates)), lambda d: ~d["approx"])

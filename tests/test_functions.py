@@ -174,3 +174,10 @@ def test_long_numbers_in_addresses(spark):
 
 def test_words_beside_marked_letters(spark):
     assert values(spark, ["óthe", "the", "athe", "the_", None], lambda c: F.rlike(c, F.lit(T.word("the|les")))) == [True, True, False, False, None]
+
+
+def test_starts_of_dates():
+    import re
+
+    assert all(re.match(dates._START, x) for x in [*dates._NAMES, "2024-01-02", "3 may 1996"])
+    assert not any(re.match(dates._START, x) for x in ("long", "text", "that", "plain", "while"))
