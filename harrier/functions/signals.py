@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip_marks
+from .text import once, strip_marks
 
 
 def flags(text: Column, rules: dict[str, str]) -> dict[str, Column]:
@@ -38,8 +38,13 @@ _DATED = rf"{_KIND}\W+(?:\w{{1,4}}\W+){{1,2}}\d{{1,2}}\.?\s\w+\s{_YEAR}"
 def numbered_text(c: Column, before: int = 40) -> Column:
     """Whether a text cites a law by number and year ("Act No. 12/2026") or by its day ("Loi du 3 mars 2026"). A citation with a
     word of an authority's ruling in it, or in the ``before`` characters in front, does not count; another one still does."""
-    cited = F.regexp_extract_all(F.lower(strip_marks(c)), F.lit(rf"(?s).{{0,{before}}}?(?:{_NUMBERED}|{_DATED})"), F.lit(0))
-    return F.exists(cited, lambda x: ~F.rlike(x, F.lit(rf"\b(?:{'|'.join(RULED)})")))
+    # each citation is put between two marks, so that the text is gone through once, and is then looked at with what is in front
+    # of it; marks of the text's own become another control character
+    t = F.translate(F.lower(strip_marks(c)), "\x01\x02", "\x03\x03")
+    parts = F.split(F.regexp_replace(t, f"({_NUMBERED}|{_DATED})", "\x01$1\x02"), "\x02")
+    cited = F.filter(parts, lambda x: F.contains(x, F.lit("\x01")))
+    near = lambda x: F.concat(F.right(F.substring_index(x, "\x01", 1), F.lit(before)), F.substring_index(x, "\x01", -1))
+    return F.exists(cited, lambda x: ~F.rlike(near(x), F.lit(rf"\b(?:{'|'.join(RULED)})")))
 
 
 #: Names of official journals, and stems of "to publish".
@@ -51,10 +56,11 @@ _PUBLISH = rf"\b(?:{'|'.join(PUBLISH)})\w*"
 def publication(near: Column, occasion: str) -> Column:
     """Whether the words around a date say that a legal text is published, and not that an event takes place: a journal is
     named, or a kind of text and "publish" stand at most eight words apart, whichever comes first."""
-    t = F.lower(strip_marks(near))
-    apart = r"(?:\W+\w+){0,8}\W+"
-    told = F.exists(F.array(*map(F.lit, JOURNALS)), lambda j: F.contains(t, j)) | F.rlike(t, F.lit(f"{_KIND}{apart}{_PUBLISH}|{_PUBLISH}{apart}{_KIND}"))
-    return told & ~F.rlike(t, F.lit(occasion))
+    # words and what parts them are never given back, as they cannot be cut elsewhere
+    apart = r"(?:\W++\w++){0,8}\W++"
+    between = F.lit(f"{_KIND}{apart}{_PUBLISH}|{_PUBLISH}{apart}{_KIND}")
+    journal = lambda t: F.rlike(t, F.lit("|".join(JOURNALS)))
+    return once(F.lower(strip_marks(near)), lambda t: (journal(t) | (F.rlike(t, F.lit("|".join(PUBLISH))) & F.rlike(t, between))) & ~F.rlike(t, F.lit(occasion)))
 
 
 def concerned(sentences: Column, anchors: dict[str, str], near: Column, sure: float = 0.9, likely: float = 0.7) -> Column:

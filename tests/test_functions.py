@@ -181,3 +181,16 @@ def test_starts_of_dates():
 
     assert all(re.match(dates._START, x) for x in [*dates._NAMES, "2024-01-02", "3 may 1996"])
     assert not any(re.match(dates._START, x) for x in ("long", "text", "that", "plain", "while"))
+
+
+def test_citations_with_what_stands_in_front(spark):
+    told = {
+        "Act No. 1/2026 and the decision on law 2/2026": True,
+        "decision on law 1/2026, law 2/2026": True,
+        "decision on law 1/2026": False,
+        "decision\x01 on law 1/2026": False,
+        "\x02Act No. 1/2026\x01": True,
+        "nothing of the kind": False,
+        None: None,
+    }
+    assert values(spark, list(told), signals.numbered_text) == list(told.values())
