@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import folded
+from ..session import Scratch
 from .relate import first_after, first_per
 
 #: Days a promoted topic is shown, an opinion and any other topic last; articles listed.
@@ -38,17 +39,23 @@ def topics(articles: DataFrame, active: DataFrame, today: str) -> DataFrame:
     a = a.withColumn("name", F.when(package, PACKAGE).when(F.col("text").isNull(), given("name")))
     a = a.withColumn("zone", F.when(package, "Europe").otherwise(F.coalesce(given("zone"), F.lit("Europe"))))
     part = F.when(F.col("text").isNotNull(), F.concat_ws("|", F.lit("t"), "text", "zone")).when(F.col("name").isNotNull(), F.concat_ws("|", F.lit("n"), folded(F.col("name")), "zone"))
-    a = a.withColumn("_key", F.concat_ws("|", "kind", F.coalesce(part, F.concat(F.lit("a|"), F.col("id").cast("string")))))
+    key = F.concat_ws("|", "kind", F.coalesce(part, F.concat(F.lit("a|"), F.col("id").cast("string")))).alias("_key")
+    scratch = Scratch(articles.sparkSession)
+    a = scratch.write(a.select(key, "id", "source", "day", "kind", "text", "name", "zone"))
+    # one distinct count a pass: two in one would repeat each row for each of them
     g = a.groupBy("_key").agg(
         F.first("kind").alias("kind"), F.first("text").alias("text"), F.min("name").alias("name"), F.min("zone").alias("zone"), F.min("day").alias("first_signal"),
-        F.max("day").alias("last_signal"), F.countDistinct("id").alias("n"), F.countDistinct("source").alias("sources"),
+        F.max("day").alias("last_signal"), F.countDistinct("source").alias("sources"),
     )
     once = a.groupBy("_key", "id").agg(F.max("day").alias("day"))
+    counted = once.groupBy("_key").agg(F.count("id").alias("n"))
     top = first_per(once, ["_key"], [F.desc("day"), F.asc("id")], LISTED, "_nth").groupBy("_key")
     top = top.agg(F.transform(F.sort_array(F.collect_list(F.struct("_nth", "id"))), lambda x: x["id"].cast("long")).alias("articles"))  # LISTED at most
-    named = g.join(top, "_key").withColumn("id", F.concat(F.lit("p"), F.substring(F.sha1("_key"), 1, 11)))
+    named = g.join(counted, "_key").join(top, "_key").withColumn("id", F.concat(F.lit("p"), F.substring(F.sha1("_key"), 1, 11)))
     none = F.lit(None)
-    return named.select("id", *_NAMES[1:10], F.lit("pressenti").alias("status"), none.cast("date").alias("became"), none.cast("string").alias("key_point"))
+    out = scratch.write(named.select("id", *_NAMES[1:10], F.lit("pressenti").alias("status"), none.cast("date").alias("became"), none.cast("string").alias("key_point")))
+    scratch.leave(out)
+    return out
 
 
 def _grams(c: str, n: int):
@@ -85,16 +92,23 @@ def promotions(waiting: DataFrame, key_points: DataFrame) -> DataFrame:
     known text needs that text; one of a name needs the name in what the key point tells, without accents or case.
     """
     zone = F.coalesce(F.nullif(F.col("zone"), F.lit("")), F.lit("Europe")).alias("zone")
-    shown = key_points.where(F.col("type").isin(*PROMOTING) & F.col("out"))
-    k = shown.select(zone, "text", folded(F.coalesce("told", F.lit(""))).alias("_told"), F.col("detected").alias("became"), F.col("id").alias("key_point"))
+    shown = key_points.where(F.col("type").isin(*PROMOTING) & F.col("out")).select(zone, "text", F.coalesce("told", F.lit("")).alias("told"), F.col("detected").alias("became"), F.col("id").alias("key_point"))
+    scratch = Scratch(key_points.sparkSession)
+
+    def firsts(k: DataFrame, by: str) -> DataFrame:
+        """The first key point of each day: no other can be the first from a day on. They are combined before the shuffle."""
+        return k.groupBy(by, "zone", "became").agg(F.min(F.struct("key_point")).alias("_first")).select(by, "zone", "became", "_first.key_point")
+
     w = waiting.select("id", "text", "zone", "first_signal", folded(F.coalesce("name", F.lit(""))).alias("_name"))
-    by_text = first_after(w.where("text is not null").drop("_name"), k.where("text is not null").drop("_told"), ["text", "zone"], "first_signal", "became", ["key_point"])
+    by_text = first_after(w.where("text is not null").drop("_name"), firsts(shown.where("text is not null"), "text"), ["text", "zone"], "first_signal", "became", ["key_point"])
     by_text = by_text.where("became is not null").select("id", "became", "key_point")
     # one row for each name and telling, so that a wording repeated by many key points is compared once
-    names, tellings = w.where("text is null and _name <> ''"), k.where("_told <> ''")
+    names = w.where("text is null and _name <> ''")
+    tellings = scratch.write(firsts(firsts(shown, "told").withColumn("_told", folded(F.col("told"))).where("_told <> ''"), "_told"))
     pairs = named_in(names.select("_name").distinct(), tellings.select("_told").distinct(), "_name", "_told")
-    tells = pairs.join(tellings, "_told").select("_name", "zone", "became", "key_point").distinct()
+    tells = firsts(pairs.join(tellings, "_told"), "_name")
     by_name = first_after(names.drop("text"), tells, ["_name", "zone"], "first_signal", "became", ["key_point"])
+    scratch.leave()
     return by_text.unionByName(by_name.where("became is not null").select("id", "became", "key_point"))
 
 
@@ -108,7 +122,9 @@ def advance(old: DataFrame, now: DataFrame, key_points: DataFrame, today: str) -
     before = old.select("id", F.col("first_signal").alias("_first"), F.col("status").alias("_status"), F.col("became").alias("_became"), F.col("key_point").alias("_point"))
     seen = now.drop("status", "became", "key_point").join(before, "id", "left").withColumn("first_signal", F.least("first_signal", "_first"))
     seen = seen.withColumns({"status": F.coalesce("_status", F.lit("pressenti")), "became": F.col("_became"), "key_point": F.col("_point")}).select(*_NAMES)
-    state = seen.unionByName(old.join(now.select("id"), "id", "left_anti").select(*_NAMES))
+    scratch = Scratch(now.sparkSession)
+    # as a table, or each of the promotions' passes would make the topics anew
+    state = scratch.write(seen.unionByName(old.join(now.select("id"), "id", "left_anti").select(*_NAMES)))
     waiting = state.where((F.col("kind") != "avis") & (F.col("status") != "devenu_projet"))
     out = promotions(waiting, key_points).select("id", F.col("became").alias("_b"), F.col("key_point").alias("_p"))
     state = state.join(out, "id", "left")
@@ -117,7 +133,9 @@ def advance(old: DataFrame, now: DataFrame, key_points: DataFrame, today: str) -
     )
     past = lambda c, n: F.coalesce(F.datediff(F.lit(today).cast("date"), F.col(c)) > n, F.lit(False))
     gone = F.when(F.col("status") == "devenu_projet", past("became", SHOWN)).when(F.col("kind") == "avis", past("last_signal", OPINIONS)).otherwise(past("last_signal", EXPIRES))
-    return state.where(~gone).select(*_NAMES)
+    register = scratch.write(state.where(~gone).select(*_NAMES))
+    scratch.leave(register)
+    return register
 
 
 def shown_order() -> list:

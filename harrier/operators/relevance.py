@@ -155,12 +155,14 @@ def alert_type(df: DataFrame) -> DataFrame:
     out_of_scope, european, essential, numbered, ai_topic_yes, ai_applies, excluded (reviews, reports, fines, studies), sme_only,
     key_text, excluded_sector, central_topic, instrument, sig_fort; columns level, nature, status, title_status, ai_verdict,
     ai_reason, ai_type."""
-    official, tc = _is("nature", "officielle"), fact("key_text")
-    numbered = ~official & (F.col("level") == "elevee") & fact("numbered") & fact("ai_topic_yes") & fact("ai_applies")
-    stage = F.when(official, F.col("status")).otherwise(F.coalesce("title_status", F.when(numbered, "adopte")))
+    # columns, made once: written out wherever they are used, they make code that is too long to be compiled
+    df = df.withColumn("_official", _is("nature", "officielle"))
+    official, tc, numbered, stage, kind = F.col("_official"), fact("key_text"), F.col("_numbered"), F.col("_stage"), F.col("_kind")
+    df = df.withColumn("_numbered", ~official & (F.col("level") == "elevee") & fact("numbered") & fact("ai_topic_yes") & fact("ai_applies"))
+    df = df.withColumn("_stage", F.when(official, F.col("status")).otherwise(F.coalesce("title_status", F.when(numbered, "adopte"))))
     #: The type that a status gives.
     kinds = {"consultation": "proposition", "projet": "proposition", "lignes_directrices": "proposition", "adopte": "adopte", "en_vigueur": "adopte"}
-    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[stage]
+    df = df.withColumn("_kind", F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[stage])
     typed = F.col("ai_type").isNull() | _is("ai_type", "texte_officiel", "projet_consultation", "obligation_echeance")
     unknown = F.when(~fact("excluded_sector") & fact("central_topic") & typed & fact("instrument") & (kind.isNotNull() | fact("sig_fort")), "a_qualifier")
     none = F.lit(None).cast("string")
@@ -178,7 +180,7 @@ def alert_type(df: DataFrame) -> DataFrame:
         ],
         kind,
     )
-    return df.withColumn("alert", found)
+    return df.withColumn("alert", found).drop("_official", "_numbered", "_stage", "_kind")
 
 
 def expected_kind(df: DataFrame) -> DataFrame:

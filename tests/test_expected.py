@@ -2,10 +2,13 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from harrier.operators import expected
+from harrier.operators import expected, relevance
+from harrier.plans import decisions
+from harrier.plans.situations import situations
 
 ARTICLES = "id long, source string, day date, kind string, text string, name string, zone string, package boolean"
 POINTS = "id string, type string, text string, zone string, told string, detected date, out boolean"
@@ -136,3 +139,26 @@ def test_named_in(spark):
     plan = expected.named_in(a, b, "name", "told")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert expected.named_in(a.limit(0), b, "name", "told").where(F.lit(True)).count() == 0
+
+
+def test_topics_are_made_once(spark):
+    """What the passes of a run read are tables: no pass makes the topics or the register anew."""
+    articles = spark.createDataFrame([(1, "a", day(0), "pressenti", "NIS2", None, "FR", False), (2, "b", day(0), "pressenti", None, "Ab", "FR", False)], ARTICLES)
+    points = spark.createDataFrame([(f"k{n}", "adopte", "NIS2", "FR", "an AB", day(1 + n // 3), True) for n in (4, 2, 1, 0)], POINTS)
+    now = expected.topics(articles, spark.createDataFrame([], "id long"), str(day(7)))
+    after = expected.advance(spark.createDataFrame([], expected.SCHEMA), now, points, str(day(7)))
+    for made in (now, after):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Aggregate" not in plan
+    assert {(r["text"], r["name"], r["became"], r["key_point"]) for r in after.collect()} == {("NIS2", None, day(1), "k0"), (None, "Ab", day(1), "k0")}
+
+
+def test_decisions_are_compiled(spark, capsys):
+    """The JVM compiles no method of more than 8000 bytes; the columns that the register takes along count too."""
+    more = ["l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "day", "key_text", "unnamed_text", "status"]
+    made = situations(spark, "/root/testdata/sf0.001", "l_partkey", "l_suppkey", "l_returnflag")
+    for decided, name in ((decisions.alerted, "alert"), (relevance.expected_kind, "kind")):
+        capsys.readouterr()
+        decided(made).select(name, *more).explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) <= 8000
