@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from harrier.operators import postings, search
 
@@ -77,3 +78,36 @@ def test_sections_by_intent(spark):
     # without an intent the best kind comes behind the alerts
     assert order(topics=["toys"]) == (["alerte", "article", "texte", "date"], 28)
     assert order(words=["a"])[0][0] == "alerte" and order() == ([], 0)
+
+
+def test_words_move_once(spark, tmp_path):
+    """The build moves each document once, as its distinct words; blocks are made where a segment lies."""
+    path, words = str(tmp_path / "i"), [["a"] * 400 + ["b"], ["b", "a", None], ["c"] * 3, [], None]
+    rows = [(i % 300, words[i % 5]) for i in range(600)]  # each row twice
+    docs = spark.createDataFrame(rows, "id int, words array<string>").repartition(4)
+    said = {(r["key"], w["word"], w["tf"]) for r in postings._counted(docs.withColumnRenamed("id", "key")).collect() for w in r["said"]}
+    assert said == {(i, w, (rows[i][1] or []).count(w)) for i in range(300) for w in set(rows[i][1] or [])}
+    tracker = spark.sparkContext._jsc.sc().statusStore()
+
+    def moved():
+        stages = tracker.stageList(None, False, False, getattr(tracker, "stageList$default$4")(), getattr(tracker, "stageList$default$5")())
+        seen = [stages.apply(i) for i in range(stages.size())]
+        return {s.stageId(): s.shuffleWriteRecords() for s in seen}
+
+    before = moved()
+    postings.build(docs, "id", "words", path, segment=20, buckets=4)
+    grown = [n for stage, n in moved().items() if stage not in before]
+    # 360 documents with words move once; by posting it were 720 rows a shuffle, several times
+    assert sum(grown) < 2 * len(rows)
+    blocks = postings.Index(spark, path, buckets=4).blocks.select("segment", "word", "df", F.inline("postings")).collect()
+    # a row that is repeated is one document with its words twice
+    assert sorted((r["key"], str(r["word"]), r["tf"], r["len"]) for r in blocks) == sorted((k, str(w), 2 * n, len(rows[k][1])) for k, w, n in said)
+    assert all(r["df"] <= 60 for r in blocks)
+
+
+def test_long_documents_make_small_segments(spark):
+    sized = spark.createDataFrame([(i, 5 if i < 3000 else 300_000) for i in range(3040)], "key int, len int")
+    dealt = sized.join(postings._lengths(sized, 1024), "len").withColumn("segment", postings._segment(1024))
+    sizes = dealt.groupBy("segment").agg(F.count("*").alias("n"), F.sum("len").alias("words")).collect()
+    assert max(r["n"] for r in sizes) < 1200 and max(r["words"] for r in sizes) < 10 * postings.WORDS
+    assert sum(r["n"] for r in sizes) == 3040
