@@ -194,3 +194,38 @@ def test_citations_with_what_stands_in_front(spark):
         None: None,
     }
     assert values(spark, list(told), signals.numbered_text) == list(told.values())
+
+
+def test_titles_that_only_look_like_links_or_files(spark):
+    url = F.lit("https://x.org/a/some-notes-on-page-12345.html")
+    slug = "Some notes on page 12345"
+    told = {
+        "john.smith.91@mail9.example.com": "john.smith.91@mail9.example.com",
+        "Threering.hlfck": "Threering.hlfck",
+        "Here here here here here": "Here here here here here",
+        "The full story of the toys": "The full story of the toys",
+        "On-line games: the new rules": "On-line games: the new rules",
+        "More on-line services for all": "More on-line services for all",
+        "Leer más sobre: Las reglas de la ciudad": "Las reglas de la ciudad",
+        "Leer más sobre Las reglas de la ciudad": "Las reglas de la ciudad",
+        "Télécharger - Les règles de la ville": "Les règles de la ville",
+        "More information on toys and games": "toys and games",
+        "Details: the rules of a town": "the rules of a town",
+        "report-of-the-year.PDF": slug,
+        "rules_of_the-year": slug,
+        "Read the full document": slug,
+        "More information here": slug,
+        "Read more about: the report": slug,
+        "CELEX:32026D1:Rules of a town": "Rules of a town",
+        "CELEX:32026D0499: ": slug,
+    }
+    assert values(spark, list(told), lambda c: T.clean_title(c, url)) == list(told.values())
+
+
+def test_titles_of_pages_without_text(spark, tmp_path):
+    from harrier.plans import catalogue
+
+    rows = [(i, None) for i in range(4)] + [(None, "<title>Rules of the town</title>")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["title"] for r in catalogue.queries()["clean_titles"](spark, str(tmp_path)).collect()}
+    assert got == {i: f"Some notes on page {i}" for i in range(4)} | {None: None}
