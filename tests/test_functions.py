@@ -229,3 +229,53 @@ def test_titles_of_pages_without_text(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = {r["page_id"]: r["title"] for r in catalogue.queries()["clean_titles"](spark, str(tmp_path)).collect()}
     assert got == {i: f"Some notes on page {i}" for i in range(4)} | {None: None}
+
+
+def test_every_step_of_a_title(spark):
+    url = F.lit("https://x.org/a/some-notes-on-page-12345.html")
+    slug = "Some notes on page 12345"
+    told = {
+        "Caf&eacute; &amp;amp; bar &#8211; &quot;the rules&quot;": 'Café & bar – "the rules"',
+        "Rules&nbsp;of&amp;nbsp;the   town": "Rules of the town",
+        "Rules of A &amp B &#x26 C": "Rules of A & B & C",
+        "A &amp; B &amp; C": slug,
+        "More information about the rules of toys": "the rules of toys",
+        "Davantage d’informations sur les règles de la ville": "les règles de la ville",
+        "Access to the publication: Rules of a town": "Rules of a town",
+        "Více informací: Pravidla pro obce": "Pravidla pro obce",
+        "TÉLÉCHARGER les règles de la ville": "les règles de la ville",
+        "An overview of rules (xlsx , 12 o )": "An overview of rules",
+        "Plans for data (up to 5 GB)": "Plans for data (up to 5 GB)",
+        "Report of the year 2026.pdf": slug,
+        "Communiqué de presse": slug,
+        "Les lignes directrices": slug,
+        "See legislative record": slug,
+        "Continue reading »": slug,
+        "Read more about: Rules": "Read more about: Rules",
+    }
+    assert values(spark, list(told), lambda c: T.clean_title(c, url)) == list(told.values())
+
+
+def test_entities_of_html5(spark):
+    import html
+
+    texts = ["&#0; &#x80; &#xD800; &#x110000; &#99999999999; &#1;|&#xfffe;|&#13;", "&notit; &not; &NotEqualTilde; &nosuch; &amp", "\x01amp\x02 &amp;lt; &;&#; &#x; &", "&ampamp;lt &CounterClockwiseContourIntegral;", ""]
+    assert values(spark, [*texts, None], T.unescape_html5) == [*map(html.unescape, texts), None]
+
+
+def test_titles_of_pages_by_every_step(spark, tmp_path):
+    import duckdb
+
+    from harrier.plans import catalogue
+
+    titles = ["Rules &quot;A&quot; &eacute;t&eacute;", "A &amp; B &amp;", "Hi", "rules_of_the_town.pdf", "Lire la suite : Les règles de la ville", "Rules&nbsp;of the town [pdf, 300 ko]", "the press release", ""]
+    rows = [(4 * i + k, f"<html><title>\n{t} </title></html>") for i, t in enumerate(titles) for k in range(4)] + [(100, None), (None, "<title>Rules</title>")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["title"] for r in catalogue.queries()["clean_titles"](spark, str(tmp_path)).collect()}
+    assert [got[i] for i in (0, 1, 2, 3, 4, 5, 8, 9, 14, 16, 17, 22, 26, 100)] == [
+        'Rules "A" été', 'Rules "A" été', 'Rules "A" été', "Some notes on page 3", "Read more about: A & B &", "Some notes on page 5", "Read more about: Hi", "Some notes on page 9",
+        "Some notes on page 14", "Lire la suite : Les règles de la ville", "Les règles de la ville", "Rules of the town [pdf, 300 ko]", "Some notes on page 26", "Some notes on page 100",
+    ]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert dict(con.sql(f"SELECT page_id, title FROM ({catalogue.oracle_sql()['clean_titles']})").fetchall()) == got
